@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm import decontaminate, sharding, simhash
+from tempora.llm import decontaminate, sharding, simhash, token_counts, token_files
 from tempora.llm.common import table
 
 
@@ -29,10 +30,21 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.token_file_digest(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op5_simhash": op5_simhash,
     "op7_decontaminate": op7_decontaminate,
+    "op8_token_counts": op8_token_counts,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}
