@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm import decontaminate, sharding, simhash, token_counts, token_files
+from tempora.llm import decontaminate, language, quality, sharding, simhash, token_counts, token_files
 from tempora.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -39,12 +43,18 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(spark, path)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_ids(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {}
