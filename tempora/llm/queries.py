@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm import decontaminate, language, quality, sharding, simhash, token_counts, token_files
+from tempora.llm import decontaminate, language, linededup, quality, sharding, simhash, token_counts, token_files
 from tempora.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "removed", F.size("removed").cast("long").alias("n_removed"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +54,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_line_dedup": op2_line_dedup,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op7_decontaminate": op7_decontaminate,
