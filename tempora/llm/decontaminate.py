@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.common import ascii_lower
+from tempora.llm.common import ascii_lower, materialize
 
 WINDOW, ANCHOR = 13, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -92,8 +92,22 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     tables: no documents give no rows, no items leave all clean. Other columns are ignored.
     """
     keyed = _keyed(docs, id_col, text_col)
-    found = _covered(window_hits(keyed, items, ["doc_id", "th"], window)).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n_hit", "items")
+    # Written once: it is read for the words and for the items, and holds nothing but hits.
+    hits = materialize(window_hits(keyed, items, ["doc_id", "th"], window))
+    found = _covered(hits).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n_hit", "items")
     rows = keyed.select("doc_id", "th", F.size("w").cast("long").alias("n_words"))
     joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left")
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select("doc_id", "n_words", hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` without the contaminated ones, by the rule of ``contamination``; all others stay as they are."""
+    keyed = _keyed(docs, id_col, text_col).withColumn("n", F.size("w"))
+    hits = materialize(window_hits(keyed, items, ["doc_id", "th", "n"], window))
+    n = hits.select("doc_id", "th", "n").distinct().select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n")
+    bad = _covered(hits).join(n, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).where("n_hit > 0 and n_hit * 20 >= n").select("_d", "_t")
+    bad = materialize(bad)
+    text = F.col(f"`{text_col}`").cast("string")
+    th = F.coalesce(F.xxhash64(text, F.length(text)), F.lit(0))
+    return docs.join(_small(bad), F.col(f"`{id_col}`").eqNullSafe(F.col("_d")) & (th == F.col("_t")), "left_anti")

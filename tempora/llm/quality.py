@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tempora.llm.common import held_out
 
@@ -174,3 +175,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     scored = score_quality(docs, fit_quality(docs, labels, id_col, text_col, label_col), id_col, text_col)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+def with_quality(docs: DataFrame, model: AttentionModel | None, text_col: str = "text", out: str = "quality_score") -> DataFrame:
+    """``docs`` with the score of every whole text as a column behind its own (one of that name is replaced)."""
+    docs = docs.drop(out)
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    place = docs.columns.index(text_col)
+    names = [*docs.columns, out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.loads(shared.value)
+        for batch in batches:
+            scores = [0.5 if model is None else float(model.score([passages(t)])[0]) for t in batch.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))

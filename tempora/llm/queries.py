@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm import decontaminate, language, linededup, quality, sharding, simhash, token_counts, token_files
+from tempora.llm import decontaminate, embeddings, language, linededup, pieces, quality, sharding, simhash, token_counts, token_files
 from tempora.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "removed", F.size("removed").cast("long").alias("n_removed"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +36,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.piece_digest(pieces.encode_pieces(table(spark, sf_dir, "documents"), model), model)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -55,8 +64,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
+    "op6_pieces": op6_pieces,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,

@@ -207,3 +207,20 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return found.join(named, found.fp == named._fp).select("doc_id", "fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` whose id names its group: one document of each group, with all its columns as they are.
+
+    Of rows that share that id one stays. A group whose ids are all null keeps one row of each text in it.
+    """
+    groups = materialize(simhash_groups(docs, id_col, text_col, words))
+    kept = groups.where("doc_id = component_id or component_id is null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = materialize(kept.withColumnRenamed("doc_id", "_id"))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id"))
+    left = docs.join(kept.select("_id"), same, "left_semi")
+    if kept.where("n > 1").limit(1).count():
+        repeated = docs.join(kept.where("n > 1").select("_id"), same, "left_semi")
+        once = repeated.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col]).unionAll(repeated.where(F.col(f"`{id_col}`").isNull()).dropDuplicates([text_col]))
+        left = docs.join(kept.where("n = 1").select("_id"), same, "left_semi").unionAll(once)
+    return left
