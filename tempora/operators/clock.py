@@ -158,7 +158,7 @@ def _per_clock(edges: DataFrame, keys: list[str], columns: list[str], decode, no
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(columns[0])
         dev, main = decode(*(frame[c].to_numpy() for c in columns))
-        model = fit_clock(np.array(dev), np.array(main), noise) if dev else fit_clock(np.zeros(1), np.zeros(1))[:0]
+        model = fit_clock(np.array(dev), np.array(main), noise) if len(dev) else fit_clock(np.zeros(1), np.zeros(1))[:0]
         for i, k in enumerate(keys):
             model.insert(i, k, frame[k].iloc[0])
         return model

@@ -136,8 +136,11 @@ def gradient(df: DataFrame, keys: list[str], t: str, value: str, out: str) -> Da
 
 def near_flag(df: DataFrame, keys: list[str], t: str, flag: Column, distance: float, out: str) -> DataFrame:
     """Whether any flagged row of the sequence lies within ``distance`` of the row: one RANGE window, no join."""
-    w = Window.partitionBy(*keys).orderBy(t).rangeBetween(-distance, distance)
-    return df.withColumn(out, F.max(F.coalesce(flag, F.lit(False)).cast("int")).over(w) == 1)
+    marked = df.withColumn("_flag", F.coalesce(flag, F.lit(False)).cast("int"))
+    width = f"{distance}D" if isinstance(distance, float) else str(distance)  # frames on doubles need double bounds
+    by = ", ".join(f"`{k}`" for k in keys)
+    near = F.expr(f"max(_flag) OVER (PARTITION BY {by} ORDER BY `{t}` RANGE BETWEEN {width} PRECEDING AND {width} FOLLOWING)")
+    return marked.withColumn(out, near == 1).drop("_flag")
 
 
 def drop_repeats(df: DataFrame, keys: list[str], t: str, value: str) -> DataFrame:
