@@ -52,7 +52,8 @@ def patterns(selection: DataFrame, modalities: dict[str, list[str]], wanted: lis
     if unknown:
         raise ValueError(f"unknown modalities: {', '.join(unknown)}")
     files = F.array(*(F.lit(p) for m in wanted for p in modalities[m]))
-    return selection.select(F.concat_ws("/", F.col("prefix"), F.explode(files)).alias("pattern")).distinct()
+    each = selection.select("prefix", F.explode(files).alias("file"))
+    return each.select(F.concat_ws("/", "prefix", "file").alias("pattern")).distinct()
 
 
 def latest_only(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
