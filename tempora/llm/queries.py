@@ -20,7 +20,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", "removed", F.size("removed").cast("long").alias("n_removed"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    return found.select("doc_id", "n_lines", "removed", F.size("removed").cast("long").alias("n_removed"))
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +74,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: SQL for those operators that SQL can express; the others are tested against brute force.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a), c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT c.a AS vec_id, coalesce(n, 0) AS n_links, component_id, c.a = component_id AS kept FROM c LEFT JOIN n USING (a)""",
+    "op7_decontaminate": f"""WITH d AS (SELECT doc_id, {_WORDS} FROM documents), b AS (SELECT item_id, {_WORDS} FROM benchmark),
+g AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
+k AS (SELECT DISTINCT n FROM g),
+p AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, k WHERE len(w) >= n)),
+h AS (SELECT doc_id, i, n, item_id FROM p JOIN g USING (n, gram)),
+c AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS x FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM h GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+coalesce(n_hit, 0) > 0 AND coalesce(n_hit, 0) * 20 >= len(w) AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
+}
