@@ -14,6 +14,26 @@ from tempora.llm.graph import connected_components
 NEAR = 8
 
 
+def near_pairs(rows: DataFrame, order: list[str], near: int = NEAR) -> DataFrame:
+    """Distinct (a, b) of nodes h to compare: in each bucket (the rows of a key) a member with the first and with its
+    ``near`` predecessors by ``order``. A crowd costs rows in proportion to its size."""
+    inside = Window.partitionBy("key").orderBy(*order)
+    others = F.array(*(F.lag("h", i).over(inside) for i in range(1, near + 1)), F.first("h").over(inside))
+    placed = rows.select("h", others.alias("near")).where(F.col("near")[0].isNotNull())
+    pairs = placed.select("h", F.explode_outer(F.array_distinct("near")).alias("o")).where("o is not null and o <> h")
+    return pairs.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
+
+
+def sorted_bucket_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], near: int = NEAR) -> DataFrame:
+    """(node, component) of the nodes of ``rows`` (key, h, beside) that ``verify`` links, directly or through others.
+
+    Members of a bucket stand in the order of ``beside``, a further bucket of theirs, so in a crowd those that share two
+    buckets are neighbours. Only pairs of ``near_pairs`` are compared: linear in the rows for any crowd. A link of a
+    crowd that is missed there is found in another bucket of the two, or through a third member.
+    """
+    return connected_components(materialize(verify(materialize(near_pairs(rows, ["beside", "h"], near)))), "a", "b")
+
+
 def bucket_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], near: int = NEAR) -> DataFrame:
     """(node, component) of the nodes of ``rows`` (key, h) that ``verify`` links, directly or through others.
 
