@@ -39,6 +39,16 @@ def materialize(df: DataFrame, compression: str = "lz4raw") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch of whole texts: some MB, where Spark's default of 10,000 rows can be hundreds.
+TEXT_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself, with the session's Arrow batches small enough for rows that hold whole texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+    return df
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only, as the contracts ask; other letters stay."""
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)

@@ -14,9 +14,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempora.llm.common import in_small_batches
+from tempora.llm.wordcache import WordCache
+
 MARK = "▁"
-#: Words whose ids a worker keeps, their most characters, pairs of pieces that it keeps, and characters in one trie.
-CACHE_ROWS, CACHE_CHARS, PAIR_ROWS, TRIE_CHARS = 1 << 19, 48, 1 << 21, 1 << 20
+#: Pairs of pieces that a worker keeps, and characters of the texts whose new words make one trie.
+PAIR_ROWS, TRIE_CHARS = 1 << 18, 1 << 20
+#: Characters of a prefix's end by which the pieces that can be its last are looked up.
+SUFFIX = 3
 UNKNOWN = -1
 
 
@@ -29,19 +34,24 @@ class PieceModel:
         plain = [i for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.id = {model.id_to_piece(i): i for i in plain}
         self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
-        self.longest = max(map(len, self.id))
+        self._take_apart()
+        self.by_suffix: dict[str, set[int]] = {}
+        for piece in self.id:
+            if len(piece) >= SUFFIX:
+                self.by_suffix.setdefault(piece[-SUFFIX:], set()).add(len(piece))
+        self.suffixes: dict[str, tuple[int, ...]] = {}
         self.bytes = {int(model.id_to_piece(i)[1:-1], 16): i for i in ids if model.is_byte(i)}
         if len(self.bytes) != 256 or any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError(f"{path}: needs byte fallback and pieces that hold marks at their beginning only")
         self.piece = [model.id_to_piece(i) for i in ids]
         self.raw = [b"" if model.is_control(i) else " ⁇ ".encode() if model.is_unknown(i) else bytes([int(self.piece[i][1:-1], 16)]) if model.is_byte(i) else self.piece[i].replace(MARK, " ").encode() for i in ids]
         self.control = np.array([model.is_control(i) for i in ids])
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
-    def merge(self, text: str) -> list[str]:
+    def merge(self, text: str, until: int = 1) -> list[str]:
         """Pieces of a short text by the model's definition: again and again merge the best pair, the leftmost first."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > until:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 s = self.score.get(parts[i] + parts[i + 1])
@@ -52,17 +62,60 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _take_apart(self) -> None:
+        """Rank of each piece's last merge (-1 for single characters) and the two parts that it joined."""
+        self.rank = {p: r for r, p in enumerate(sorted(self.score, key=self.score.get, reverse=True))}
+        self.made, self.parts = {}, {}
+        for piece in list(self.id):
+            if len(piece) == 1:
+                self.made[piece] = -1
+                continue
+            parts = self.merge(piece, until=2)
+            if len(parts) == 2:
+                self.made[piece], self.parts[piece] = self.rank[piece], parts
+            else:
+                del self.id[piece]  # its characters never merge to it
+
     def adjoin(self, left: int, right: int) -> bool:
-        """Whether two pieces can stand side by side: merging their text gives just them."""
-        key = (left, right)
+        """Whether merging the text of two pieces gives just them.
+
+        The merges are gone through backwards. Before the later one of both pieces' last merges, its parts stood there;
+        had what then touched at the border merged earlier, the pieces would never have come about.
+        """
+        key = left << 32 | right
         found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= PAIR_ROWS:
                 self.pairs.clear()
-            a, b = self.piece[left], self.piece[right]
-            found = self.pairs[key] = self.merge(a + b) == [a, b]
+            found = self.pairs[key] = self._stay_apart(self.piece[left], self.piece[right])
         return found
 
+    def _stay_apart(self, a: str, b: str) -> bool:
+        rank, made, parts, bound = self.rank, self.made, self.parts, float("inf")
+        while True:
+            if rank.get(a + b, bound) < bound:
+                return False
+            of_a, of_b = made[a], made[b]
+            if of_a < 0 and of_b < 0:
+                return True
+            if of_a > of_b:
+                a, bound = parts[a][1], of_a
+                if a not in made:
+                    made[a] = -1  # a character that is no piece itself
+            else:
+                # At equal ranks the left pair goes first, and the border lies left of this merge.
+                b, bound = parts[b][0], of_b + 0.5
+                if b not in made:
+                    made[b] = -1
+
+    def lengths(self, suffix: str) -> tuple[int, ...]:
+        """Lengths of the pieces that can end a text with this suffix of up to ``SUFFIX`` characters, the longest first."""
+        if len(self.suffixes) >= PAIR_ROWS:
+            self.suffixes.clear()
+        found = set(self.by_suffix.get(suffix, ())) | {n for n in range(1, SUFFIX) if suffix[-n:] in self.id}
+        out = self.suffixes[suffix] = tuple(sorted(found, reverse=True))
+        return out
+
     def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each of the sorted ``words``, walking their trie depth-first.
 
@@ -70,7 +123,7 @@ class PieceModel:
         for every prefix: the one that can stand behind the state of the prefix before it. What two neighbours share
         as a prefix is the path of the trie to their fork, whose states stay and are used again.
         """
-        ids, longest, pairs, adjoin = self.id, self.longest, self.pairs, self.adjoin
+        ids, suffixes, pairs, adjoin = self.id, self.suffixes, self.pairs, self.adjoin
         last, start, before = [UNKNOWN], [0], ""
         for word in words:
             n = len(word)
@@ -79,13 +132,19 @@ class PieceModel:
                 depth += 1
             del last[depth + 1 :], start[depth + 1 :]
             for end in range(depth + 1, n + 1):
-                for begin in range(end - longest if end > longest else 0, end):
-                    piece = ids.get(word[begin:end])
-                    if piece is not None:
+                suffix = word[end - SUFFIX : end] if end > SUFFIX else word[:end]
+                sizes = suffixes.get(suffix)
+                for size in self.lengths(suffix) if sizes is None else sizes:
+                    begin = end - size
+                    if begin <= 0:
+                        if begin == 0 and (piece := ids.get(word[:end])) is not None:
+                            break
+                        continue
+                    if (piece := ids.get(word[begin:end])) is not None:
                         left = last[begin]
-                        if begin == 0 or left < 0:
+                        if left < 0:
                             break
-                        found = pairs.get((left, piece))
+                        found = pairs.get(left << 32 | piece)
                         if found or found is None and adjoin(left, piece):
                             break
                 else:
@@ -122,39 +181,6 @@ def marked_words(text: str | None) -> list[str]:
     return _word(MARK + text.replace(" ", MARK)) if text else []
 
 
-class WordTable:
-    """Ids of the words that a worker has met, as one flat array."""
-
-    def __init__(self, model: PieceModel) -> None:
-        self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
-
-    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in order, ids of each word)."""
-        fresh = sorted(set(words).difference(self.number))
-        if fresh:
-            if len(self.number) + len(fresh) > CACHE_ROWS:
-                self.forget()
-                fresh = sorted(set(words))
-            coded = list(self.model.encode_sorted(fresh))
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-            self.number.update(zip(fresh, range(len(self.start) - 1, len(self.start) - 1 + len(fresh))))
-            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(coded), np.int32, int(sizes.sum()))])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        first, size = self.start[number], self.start[number + 1] - self.start[number]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
-        out = self.ids[at], size
-        for w in [w for w in fresh if len(w) > CACHE_CHARS]:
-            del self.number[w]
-        return out
-
-
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_crc32, ids) for every row: the piece ids of the whole text, without begin or end, as the library gives them.
 
@@ -162,25 +188,23 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(load(model_path))
+        cache = WordCache(load(model_path).encode_sorted)
         for batch in batches:
-            texts, parts, sizes, at = batch.column(2).to_pylist(), [], [], 0
-            while at < len(texts):
-                some, chars = [], 0
-                while at < len(texts) and chars < TRIE_CHARS:
-                    some.append(marked_words(texts[at]))
-                    chars += len(texts[at] or "")
+            texts, at = batch.column(2), 0
+            while at < batch.num_rows:
+                first, some, chars = at, [], 0
+                while at < batch.num_rows and chars < TRIE_CHARS:
+                    text = texts[at].as_py()
+                    some.append(marked_words(text))
+                    chars += len(text or "")
                     at += 1
-                ids, per_word = table.lookup(list(itertools.chain.from_iterable(some)))
-                parts.append(ids)
-                sizes.append(np.diff(np.concatenate([[0], np.cumsum(per_word)])[np.cumsum([0, *map(len, some)])]))
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else np.zeros(1)
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(parts) if parts else [], pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "text_crc32", "ids"])
+                ids, starts = cache.encode_lists(some)
+                lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:at], batch.column(1)[first:at], lists], ["doc_id", "text_crc32", "ids"])
 
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_crc32 long, ids array<int>")
+    return in_small_batches(rows).mapInArrow(run, "doc_id long, text_crc32 long, ids array<int>")
 
 
 def decode_pieces(coded: DataFrame, model_path: str) -> DataFrame:
