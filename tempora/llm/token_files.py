@@ -14,47 +14,10 @@ from pyspark.sql import functions as F
 
 from tempora.llm import pretokens
 from tempora.llm.common import materialize, scratch_dir
+from tempora.llm.wordcache import WordCache
 
-DOCS_PER_FILE, MAX_FILES = 4096, 50_000
-#: Words whose ids a worker keeps, and the most characters of a kept word.
-CACHE_ROWS, CACHE_CHARS = 1 << 19, 64
-
-
-class WordIds(dict):
-    """Word to number; ``ids[start[number]:start[number + 1]]`` are the word's token ids."""
-
-    def __init__(self, encode, ids_of_rank: np.ndarray) -> None:
-        super().__init__()
-        self.encode, self.of_rank = encode, ids_of_rank
-        self.fresh: list[list[int]] = []
-        self.ids, self.start, self.count = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
-
-    def __missing__(self, word: str) -> int:
-        number = self.count + len(self.fresh)
-        self.fresh.append(self.encode(word.encode("utf-8", "surrogatepass") + pretokens.WORD_END))
-        self[word] = number
-        return number
-
-    def settle(self) -> None:
-        """Move the new words' ids to the flat table."""
-        if self.fresh:
-            sizes = np.fromiter(map(len, self.fresh), np.int64, len(self.fresh))
-            flat = np.fromiter(itertools.chain.from_iterable(self.fresh), np.int64, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, self.of_rank[flat]])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-            self.count, self.fresh = len(self.start) - 1, []
-
-    def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(token ids of all words, tokens of each word)."""
-        if self.count > CACHE_ROWS:
-            self.clear()
-            self.ids, self.start, self.count = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
-        number = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        self.settle()
-        first, size = self.start[number], self.start[number + 1] - self.start[number]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
-        return self.ids[at], size
+#: Documents of a file, the most files, and characters of texts that are encoded at once.
+DOCS_PER_FILE, MAX_FILES, BLOCK_CHARS = 4096, 50_000, 1 << 21
 
 
 def normalise(text: str) -> str:
@@ -73,7 +36,13 @@ def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, bounds: list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, ids, _, _ = pretokens.load(tokenizer_path)
-        table = WordIds(encoding._core_bpe.encode_single_piece, np.array(ids, np.int64).astype(np.uint32))
+        piece = encoding._core_bpe.encode_single_piece
+
+        def encode(words: list[str]) -> Iterator[list[int]]:
+            for word in words:
+                yield [special_ids[word]] if word in special_ids else [ids[r] for r in piece(word.encode("utf-8", "surrogatepass") + pretokens.WORD_END)]
+
+        cache = WordCache(encode)
         split, at_special = pretokens.Splitter(pretokens.WORD_PATTERN), pretokens.special_splitter(special)
         pack = zstandard.ZstdCompressor(level=1).compress
 
@@ -84,33 +53,24 @@ def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, bounds: list
                 return split(normalise(text))
             return list(itertools.chain.from_iterable([part] if part in special_ids else split(normalise(part)) for part in at_special.split(text)))
 
-        def settle_special() -> None:
-            for name, number in special_ids.items():
-                if name not in table:
-                    table[name] = table.count
-                    table.ids, table.start = np.append(table.ids, np.uint32(number)), np.append(table.start, table.start[-1] + 1)
-                    table.count += 1
-
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             files = np.searchsorted(cuts, np.nan_to_num(keys.astype(float), nan=-np.inf) if keys.dtype.kind == "f" else keys, side="left").astype(np.int32)
-            texts, out_n, out_ids, at = batch.column(1).to_pylist(), [], [], 0
-            while at < len(texts):  # some MB of text at a time
-                some, size = [], 0
-                while at < len(texts) and size < 1 << 20:
-                    some.append(words(texts[at]))
-                    size += len(texts[at] or "")
+            texts, at = batch.column(1), 0
+            while at < batch.num_rows:
+                first, some, size = at, [], 0
+                while at < batch.num_rows and size < BLOCK_CHARS:
+                    text = texts[at].as_py()
+                    some.append(words(text))
+                    size += len(text or "")
                     at += 1
-                settle_special()
-                flat, per_word = table.lookup(list(itertools.chain.from_iterable(some)))
-                ends = np.concatenate([[0], np.cumsum(per_word)])[np.cumsum([0, *map(len, some)])]
+                flat, ends = cache.encode_lists(some)
                 flat = flat.astype(width)
-                for a, b in itertools.pairwise(ends.tolist()):
-                    out_n.append(b - a + 1)
-                    out_ids.append(pack(np.append(flat[a:b], width.type(end_id)).tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(files), batch.column(0), pa.array(out_n, pa.int64()), pa.array(out_ids, pa.binary())], ["file_no", "doc_id", "n", "ids"]
-            )
+                spans = list(itertools.pairwise(ends.tolist()))
+                packed = [pack(np.append(flat[a:b], width.type(end_id)).tobytes()) for a, b in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(files[first:at]), batch.column(0)[first:at], pa.array([b - a + 1 for a, b in spans], pa.int64()), pa.array(packed, pa.binary())], ["file_no", "doc_id", "n", "ids"]
+                )
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(run, "file_no int, doc_id long, n long, ids binary")
@@ -126,8 +86,8 @@ def id_counts(encoded: DataFrame, wide: bool) -> list[int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                n = np.bincount(unpack_ids(blob, wide))
+            for blobs in itertools.batched(batch.column(0).to_pylist(), 500):
+                n = np.bincount(np.concatenate([unpack_ids(b, wide) for b in blobs]))
                 if len(n) > len(total):
                     n, total = total, n
                 total[: len(n)] += n
@@ -146,8 +106,13 @@ def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes[: len(ranks)] = size - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    used = np.arange(4) < size[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    first = np.cumsum(size, dtype=np.int64) - size
+    data = np.empty(int(size.sum(dtype=np.int64)), np.uint8)
+    data[first] = ranks & 0xFF
+    for more in range(1, int(size.max(initial=1))):
+        has = size > more
+        data[first[has] + more] = ranks[has] >> np.uint32(8 * more) & 0xFF
+    return control.tobytes(), data.tobytes()
 
 
 #: Bytes of each of the four ranks of a control byte.
