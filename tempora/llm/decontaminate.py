@@ -58,7 +58,8 @@ def window_hits(docs: DataFrame, items: DataFrame, key: list[str], window: int =
     cut = F.split("gram", " ")
     k = F.least(F.lit(ANCHOR), F.col("len"))
     anchors = grams.select("len", F.explode(F.transform(F.sequence(F.lit(1), F.col("len") - k + 1), lambda i: _hash(F.slice(cut, i, k)))).alias("a")).distinct()
-    spread = docs.select(*key, words_col, F.explode(at).alias("s")).select(*key, words_col, F.col("s.len").alias("len"), F.col("s.at").alias("at"), F.col("s.a").alias("a"))
+    # The outer form: for the other one Spark adds a filter that makes each document's anchors twice.
+    spread = docs.select(*key, words_col, F.explode_outer(at).alias("s")).where("s is not null").select(*key, words_col, F.col("s.len").alias("len"), F.col("s.at").alias("at"), F.col("s.a").alias("a"))
     held = spread.join(_small(anchors), ["len", "a"], "left_semi")
     lowest = F.greatest(F.lit(1), F.col("at") - (F.col("len") - k))
     highest = F.least(F.col("at"), F.size(words_col) - F.col("len") + 1)
