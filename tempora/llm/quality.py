@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempora.llm.common import held_out
+from tempora.llm.common import held_out, in_small_batches
 
 PASSAGE_WORDS, HIDDEN, GATE = 64, 24, 12
 #: Labelled rows of each label that the model is fitted on at most, and passages of each: evenly spread ones of longer texts.
@@ -190,4 +190,4 @@ def with_quality(docs: DataFrame, model: AttentionModel | None, text_col: str =
             scores = [0.5 if model is None else float(model.score([passages(t)])[0]) for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+    return in_small_batches(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
