@@ -12,6 +12,8 @@ from tempora.llm.graph import connected_components
 
 #: Predecessors in a bucket that a member is always compared with, besides the bucket's first.
 NEAR = 8
+#: Buckets of up to so many members list the pairs that aren't connected yet: half as many a member at most.
+CROWD = 64
 
 
 def near_pairs(rows: DataFrame, order: list[str], near: int = NEAR) -> DataFrame:
@@ -24,40 +26,35 @@ def near_pairs(rows: DataFrame, order: list[str], near: int = NEAR) -> DataFrame
     return pairs.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
 
 
-def sorted_bucket_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], near: int = NEAR) -> DataFrame:
-    """(node, component) of the nodes of ``rows`` (key, h, beside) that ``verify`` links, directly or through others.
-
-    Members of a bucket stand in the order of ``beside``, a further bucket of theirs, so in a crowd those that share two
-    buckets are neighbours. Only pairs of ``near_pairs`` are compared: linear in the rows for any crowd. A link of a
-    crowd that is missed there is found in another bucket of the two, or through a third member.
-    """
-    return connected_components(materialize(verify(materialize(near_pairs(rows, ["beside", "h"], near)))), "a", "b")
+def _all_pairs(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The verified pairs (a, b) of different components c within a bucket of ``members`` (key, h, c)."""
+    left = members.select("key", F.col("h").alias("a"), F.col("c").alias("ca"))
+    right = members.select("key", F.col("h").alias("b"), F.col("c").alias("cb"))
+    return verify(left.join(right, "key").where("ca < cb").select("a", "b").distinct())
 
 
-def bucket_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], near: int = NEAR) -> DataFrame:
+def bucket_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], near: int = NEAR, rest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, component) of the nodes of ``rows`` (key, h) that ``verify`` links, directly or through others.
 
     ``verify`` takes candidate pairs (a, b) and returns those that are linked. In a bucket (the rows of a key) a member
     is compared with the first one and with its ``near`` predecessors, so a crowd costs rows in proportion to its size.
     All other pairs of a bucket are compared too, but only where the two aren't connected by then: no candidate is
-    dropped, and none is listed for what is known. An empty table gives an empty result.
+    dropped, and none is listed for what is known. In buckets of more than ``CROWD`` members ``rest`` does that: it takes
+    members (key, h, c), c a node's component so far, and returns links (a, b) that connect what belongs together,
+    without listing pairs; without ``rest`` they are listed. An empty table gives an empty result.
     """
     inside = Window.partitionBy("key").orderBy("h")
-    others = F.array(*(F.lag("h", i).over(inside) for i in range(1, near + 1)), F.first("h").over(inside))
-    placed = rows.select("key", "h", others.alias("near"), F.row_number().over(inside).alias("r"))
-    placed = materialize(placed.where(F.col("near")[0].isNotNull()))
-    first = placed.select("h", F.explode(F.array_distinct("near")).alias("a")).where("a is not null and a <> h")
-    links = materialize(verify(first.select("a", F.col("h").alias("b")).distinct()))
+    beside = F.coalesce(F.lag("h", 1).over(inside), F.lead("h", 1).over(inside)).alias("o")
+    shared = materialize(rows.select("key", "h", beside).where("o is not null").select("key", "h"))
+    links = materialize(verify(materialize(near_pairs(shared, ["h"], near))))
     part = connected_components(links, "a", "b")
-    large = placed.where(F.col("r") > near + 1).select("key").distinct()
-    members = placed.select("key", "h").unionAll(placed.select("key", F.col("near")[near].alias("h"))).join(large, "key", "left_semi").distinct()
-    members = members.join(part, members.h == part.node, "left").select("key", "h", F.coalesce("component", "h").alias("c"))
+    sizes = shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > near + 1)
+    members = shared.join(sizes, "key").join(part, F.col("h") == F.col("node"), "left").select("key", "h", F.coalesce("component", "h").alias("c"), "n")
     several = members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     members = materialize(members.join(several, "key", "left_semi"))
-    if members.limit(1).count():
-        left = members.select("key", F.col("h").alias("a"), F.col("c").alias("ca"))
-        right = members.select("key", F.col("h").alias("b"), F.col("c").alias("cb"))
-        rest = materialize(verify(left.join(right, "key").where("ca < cb").select("a", "b").distinct()))
-        if rest.limit(1).count():
-            part = connected_components(links.unionAll(rest), "a", "b")
-    return part
+    small, crowds = (members.where(F.col("n") <= CROWD), members.where(F.col("n") > CROWD)) if rest else (members, members.limit(0))
+    found = [materialize(f(m.select("key", "h", "c"))) for m, f in ((small, lambda m: _all_pairs(m, verify)), (crowds, rest)) if m.limit(1).count()]
+    found = [f.select("a", "b") for f in found if f.limit(1).count()]
+    for f in found:
+        links = links.unionAll(f)
+    return connected_components(links, "a", "b") if found else part
