@@ -252,6 +252,16 @@ def source_preference(spark, sf_dir):
     return preferred(rows, ["user_id"], F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "signup", 1).otherwise(2)).select("user_id", "event_id")
 
 
+@query(f"""WITH {EV}, r AS (SELECT user_id, event_id, us // {DAY_US} AS day, CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 ELSE 2 END AS p FROM ev)
+SELECT user_id, day, event_id FROM r WHERE p = (SELECT min(p) FROM r AS q WHERE q.user_id = r.user_id AND q.day = r.day)""")
+def source_preference_days(spark, sf_dir):
+    """The preferred source of every user and day, over the whole table."""
+    from tempora.sources.catalog import preferred
+
+    rows = events(spark, sf_dir).withColumn("day", F.floor(F.col("us") / DAY_US))
+    return preferred(rows, ["user_id", "day"], F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "signup", 1).otherwise(2)).select("user_id", "day", "event_id")
+
+
 @query("""WITH a AS (SELECT l_suppkey % 8 AS g, l_quantity AS ax, l_extendedprice / 1000 AS ay, l_discount * 100 AS az FROM lineitem) SELECT CAST(g AS BIGINT) AS g, count(*) AS n, 0.0::DOUBLE AS tx, 1.0::DOUBLE AS ty, 2.0::DOUBLE AS tz FROM a GROUP BY g""")
 def rigid_alignment(spark, sf_dir):
     """Rigid motion of each group of points from pairs that a known shift makes: the shift is found again."""

@@ -46,3 +46,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", ["clock_fit_residual", "position_glitches"])
 def test_without_sql(spark, name):
     assert plans.QUERIES[name](spark, FOLDER).count() > 0
+
+
+def test_preference_covers_all_days(spark, duck):
+    found = {(r.user_id, r.day) for r in plans.QUERIES["source_preference_days"](spark, FOLDER).collect()}
+    want = duck.execute("SELECT DISTINCT user_id, epoch_us(ts) // 86400000000 FROM events").fetchall()
+    assert found == set(want) and len({d for _, d in found}) > 2
