@@ -271,6 +271,31 @@ def rigid_alignment(spark, sf_dir):
     return fusion.rigid_fit(pairs, ["g"]).select("g", "n", t[0].alias("tx"), t[1].alias("ty"), t[2].alias("tz"))
 
 
+@query("""WITH p AS (SELECT l_suppkey, l_quantity AS x, l_discount * 1000 AS y FROM lineitem), q AS (SELECT *, x * x + y * y AS s FROM p),
+m AS (SELECT l_suppkey, count(*)::DOUBLE AS n, avg(x) AS mx, avg(y) AS my, avg(s) AS ms, avg(x * x) - avg(x) ** 2 AS xx, avg(y * y) - avg(y) ** 2 AS yy, avg(x * y) - avg(x) * avg(y) AS xy, (avg(s * x) - avg(s) * avg(x)) / 2 AS bx, (avg(s * y) - avg(s) * avg(y)) / 2 AS b_y FROM q GROUP BY l_suppkey),
+c AS (SELECT *, xx * yy - xy * xy AS det, (bx * yy - b_y * xy) / (xx * yy - xy * xy) AS cx, (b_y * xx - bx * xy) / (xx * yy - xy * xy) AS cy FROM m)
+SELECT l_suppkey, round(cx, 4) AS cx, round(cy, 4) AS cy, round(sqrt(ms - 2 * cx * mx - 2 * cy * my + cx * cx + cy * cy), 4) AS r FROM c""")
+def circle_values(spark, sf_dir):
+    """Centre and radius of the circle through each supplier's points (quantity, discount), from all line items."""
+    rows = read(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").cast("double").alias("x"), (F.col("l_discount") * 1000).cast("double").alias("y"))
+    return geometry.circle_fit(rows, ["l_suppkey"]).select("l_suppkey", *(F.round(c, 4).alias(c) for c in ("cx", "cy", "r")))
+
+
+#: A turn by the quaternion 4, 1, 2, 3 (w first) and a shift, which rigid_motion finds again.
+TURN = [v / 30 for v in (4.0, -20.0, 22.0, 28.0, 10.0, 4.0, -10.0, 20.0, 20.0)]
+SHIFT = [-3.5, 1.25, 40.0]
+
+
+@query(f"""SELECT CAST(l_suppkey % 8 AS BIGINT) AS g, count(*) AS n, {', '.join(f'round({v!r}::DOUBLE, 5) AS r{i}' for i, v in enumerate(TURN))}, {', '.join(f'{v!r}::DOUBLE AS t{c}' for c, v in zip('xyz', SHIFT))} FROM lineitem GROUP BY 1""")
+def rigid_motion(spark, sf_dir):
+    """Rotation and signed translation between each group's points and the same points turned and shifted."""
+    rows = read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 8).cast("long").alias("g"), F.col("l_quantity").cast("double").alias("ax"), (F.col("l_extendedprice") / 1000).cast("double").alias("ay"), (F.col("l_discount") * 100).cast("double").alias("az"))
+    moved = geometry.rotate_point([F.lit(v) for v in TURN], F.col("ax"), F.col("ay"), F.col("az"))
+    pairs = rows.select("*", *((m + v).alias(f"b{c}") for c, m, v in zip("xyz", moved, SHIFT)))
+    found = fusion.rigid_fit(pairs, ["g"])
+    return found.select("g", "n", *(F.round(F.col("rotation")[i], 5).alias(f"r{i}") for i in range(9)), *(F.round(F.col("translation")[i], 5).alias(f"t{c}") for i, c in enumerate("xyz")))
+
+
 @query("""WITH p AS (SELECT l_orderkey, l_linenumber, (l_quantity - 25) / 10 AS x, (l_discount - 0.05) * 20 AS y, l_extendedprice / 20000 AS z FROM lineitem), q AS (SELECT *, 400.0 * x / z + 320.0 AS u, 400.0 * y / z + 240.0 AS v FROM p WHERE z > 0.2 AND z < 200)
 SELECT l_orderkey, l_linenumber, CAST(trunc(u) AS INTEGER) AS u, CAST(trunc(v) AS INTEGER) AS v FROM q WHERE u >= 0 AND u < 640 AND v >= 0 AND v < 480""")
 def pinhole_projection(spark, sf_dir):

@@ -52,3 +52,10 @@ def test_preference_covers_all_days(spark, duck):
     found = {(r.user_id, r.day) for r in plans.QUERIES["source_preference_days"](spark, FOLDER).collect()}
     want = duck.execute("SELECT DISTINCT user_id, epoch_us(ts) // 86400000000 FROM events").fetchall()
     assert found == set(want) and len({d for _, d in found}) > 2
+
+
+def test_fits_return_values(spark):
+    circles = plans.QUERIES["circle_values"](spark, FOLDER).collect()
+    assert len(circles) > 5 and all(c.r > 0 and c.cx is not None and c.cy is not None for c in circles)
+    motions = plans.QUERIES["rigid_motion"](spark, FOLDER).collect()
+    assert len(motions) > 5 and all(m.tx == -3.5 and m.r1 < 0 for m in motions)
