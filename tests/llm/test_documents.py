@@ -15,6 +15,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tempora.llm import decontaminate, language, linededup, pieces, quality, sharding, simhash, token_counts, token_files
@@ -156,8 +157,6 @@ def brute_contamination(rows, items):
 
 
 def test_contamination(spark, rows):
-    from pyspark.sql import functions as F
-
     rng = random.Random(8)
     docs = {r[0]: r[1] for r in rows}
     items = [(1, docs[6]), (2, None), (3, ""), (4, "Karinlo Mopit"), (5, docs[20].split("\n")[0][:400]), (6, docs[6].upper()), (7, sentence(rng, 40)), (10, sentence(rng, 13)), (11, "zwölf"), (None, docs[10])]
@@ -224,18 +223,12 @@ def brute_lines(rows):
     occurrences = []
     for i, t, *_ in rows:
         for k, line in enumerate(t.split("\n") if t is not None else ()):
-            line = line.strip(" ").lower()
-            if len(line) >= linededup.MIN_CHARS:
+            line = re.sub(r"[ \t\r\f\v]+", " ", line.lower()).strip(" ")
+            if line:
                 occurrences.append((i is None, i or 0, xxhash.xxh64_intdigest((t or "").encode(), 42), k, line, i))
     distinct = sorted({o[4] for o in occurrences})
-
-    def sets(x):
-        short = frozenset(x[i : i + 8] for i in range(len(x) - 7)) if len(x) < linededup.SHORT else frozenset()
-        long = frozenset(x[m.start() : m.start() + 12] for m in re.finditer(r"(?<!\S)\S", x)) if len(x) >= linededup.LONG else frozenset()
-        return short, long
-
-    all_sets = [sets(x) for x in distinct]
-    alike = lambda p, q: any(a and b and len(a & b) >= 0.8 * len(a | b) for a, b in zip(p, q))
+    all_sets = [frozenset(x[i : i + 5] for i in range(max(1, len(x) - 4))) for x in distinct]
+    alike = lambda p, q: len(p & q) >= 0.8 * len(p | q)
     root = components(len(distinct), [(a, b) for a, b in itertools.combinations(range(len(distinct)), 2) if alike(all_sets[a], all_sets[b])])
     part = dict(zip(distinct, root))
     first = {}
@@ -252,16 +245,17 @@ def test_lines(spark, rows):
     rng = random.Random(3)
     line = sentence(rng, 40)
     changed = line.replace(line.split()[7], "xx", 1)
-    more = [(200, f"{line}\nkept one", "en", "s"), (201, f"first\n{changed}\n{line.upper()}", "en", "s"), (202, "first\nkept one\nfirst", "en", "s")]
-    some = [r for r in rows if r[0] != 80] + more
-    df = frame(spark, some)
+    more = [(200, f"{line}\nkept one", "en", "s"), (201, f"first\n{changed}\n{line.upper()}", "en", "s"), (202, "first\nkept one\nfirst", "en", "s"), (203, "a\n\nb\na", "en", "s"), (204, "😀😀é😀\n B\n\nfirst!", "en", "s")]
+    some = rows + more
+    df = frame(spark, some).withColumns({"_d": F.lit(1), "_T": F.lit("x"), "_th": F.lit(2), "_removed": F.lit(None).cast("int")})
     out = linededup.dedup_lines(df)
+    assert out.where("_d = 1 and _T = 'x' and _th = 2 and _removed is null").count() == len(some)
     assert out.columns == [*df.columns, "n_lines", "removed"]
     gone = brute_lines(some)
     for r in out.collect():
         assert set(r.removed) == gone.get(r.doc_id, set())
     texts = {r.doc_id: r.text for r in out.collect()}
-    assert texts[201] == "first" and texts[202] == "first\nkept one\nfirst" and texts[1] is None and texts[2] == ""
+    assert texts[201] == "first" and texts[202] == "" and texts[203] == "a\n\nb" and texts[204] == "😀😀é😀\n\nfirst!" and texts[1] is None and texts[2] == ""
     assert linededup.dedup_lines(frame(spark, [])).count() == 0
 
 
