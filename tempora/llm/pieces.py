@@ -8,6 +8,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -20,8 +21,6 @@ from tempora.llm.wordcache import WordCache
 MARK = "▁"
 #: Pairs of pieces that a worker keeps, and characters of the texts whose new words make one trie.
 PAIR_ROWS, TRIE_CHARS = 1 << 18, 1 << 20
-#: Characters of a prefix's end by which the pieces that can be its last are looked up.
-SUFFIX = 3
 UNKNOWN = -1
 
 
@@ -35,11 +34,12 @@ class PieceModel:
         self.id = {model.id_to_piece(i): i for i in plain}
         self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
         self._take_apart()
-        self.by_suffix: dict[str, set[int]] = {}
-        for piece in self.id:
-            if len(piece) >= SUFFIX:
-                self.by_suffix.setdefault(piece[-SUFFIX:], set()).add(len(piece))
-        self.suffixes: dict[str, tuple[int, ...]] = {}
+        ending = ahocorasick.Automaton()
+        for piece, i in self.id.items():
+            ending.add_word(piece, (i, len(piece)))
+        ending.make_automaton()
+        #: All pieces that end at each place of a word, the longest first.
+        self.ending = ending.iter
         self.bytes = {int(model.id_to_piece(i)[1:-1], 16): i for i in ids if model.is_byte(i)}
         if len(self.bytes) != 256 or any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError(f"{path}: needs byte fallback and pieces that hold marks at their beginning only")
@@ -108,14 +108,6 @@ class PieceModel:
                 if b not in made:
                     made[b] = -1
 
-    def lengths(self, suffix: str) -> tuple[int, ...]:
-        """Lengths of the pieces that can end a text with this suffix of up to ``SUFFIX`` characters, the longest first."""
-        if len(self.suffixes) >= PAIR_ROWS:
-            self.suffixes.clear()
-        found = set(self.by_suffix.get(suffix, ())) | {n for n in range(1, SUFFIX) if suffix[-n:] in self.id}
-        out = self.suffixes[suffix] = tuple(sorted(found, reverse=True))
-        return out
-
     def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each of the sorted ``words``, walking their trie depth-first.
 
@@ -123,7 +115,7 @@ class PieceModel:
         for every prefix: the one that can stand behind the state of the prefix before it. What two neighbours share
         as a prefix is the path of the trie to their fork, whose states stay and are used again.
         """
-        ids, suffixes, pairs, adjoin = self.id, self.suffixes, self.pairs, self.adjoin
+        ending, pairs, adjoin = self.ending, self.pairs, self.adjoin
         last, start, before = [UNKNOWN], [0], ""
         for word in words:
             n = len(word)
@@ -131,26 +123,26 @@ class PieceModel:
             while depth < most and word[depth] == before[depth]:
                 depth += 1
             del last[depth + 1 :], start[depth + 1 :]
-            for end in range(depth + 1, n + 1):
-                suffix = word[end - SUFFIX : end] if end > SUFFIX else word[:end]
-                sizes = suffixes.get(suffix)
-                for size in self.lengths(suffix) if sizes is None else sizes:
-                    begin = end - size
-                    if begin <= 0:
-                        if begin == 0 and (piece := ids.get(word[:end])) is not None:
-                            break
+            undecided = depth  # the first place whose prefix has no state
+            for at, (piece, size) in ending(word):
+                if at < undecided:
+                    continue
+                while undecided < at:  # a character that no piece ends with
+                    last.append(UNKNOWN)
+                    start.append(undecided)
+                    undecided += 1
+                begin = at + 1 - size
+                left = last[begin]
+                if left >= 0:
+                    found = pairs.get(left << 32 | piece)
+                    if not (found or found is None and adjoin(left, piece)):
                         continue
-                    if (piece := ids.get(word[begin:end])) is not None:
-                        left = last[begin]
-                        if left < 0:
-                            break
-                        found = pairs.get(left << 32 | piece)
-                        if found or found is None and adjoin(left, piece):
-                            break
-                else:
-                    piece, begin = UNKNOWN, end - 1
                 last.append(piece)
                 start.append(begin)
+                undecided += 1
+            for at in range(undecided, n):
+                last.append(UNKNOWN)
+                start.append(at)
             out, end = [], n
             while end:
                 if last[end] < 0:
