@@ -62,3 +62,13 @@ def held_out(doc_id: Column) -> Column:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, so that extra columns can never clash with ours."""
     return df.select(*(F.col(f"`{n}`") for n in names))
+
+
+def fresh(names: list[str], *wanted: str) -> list[str]:
+    """``wanted`` names, longer where ``names`` has them in any spelling."""
+    taken, out = {n.lower() for n in names}, []
+    for w in wanted:
+        while w.lower() in taken:
+            w += "_"
+        out.append(w)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.common import ascii_lower, materialize
+from tempora.llm.common import ascii_lower, fresh, materialize
 
 WINDOW, ANCHOR = 13, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -18,8 +18,10 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def _hash(items: Column) -> Column:
-    return F.xxhash64(F.array_join(items, " "))
+def _hash(array: Column | str, first: Column, k: Column | int) -> Column:
+    """Hash of the k words (up to ``ANCHOR``) of an array from ``first`` (from 0) on, taken one by one: a slice would read it all."""
+    k = F.lit(k) if isinstance(k, int) else k
+    return F.xxhash64(*(F.when(k > j, F.get(array, first + j)) for j in range(ANCHOR)))
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -39,12 +41,43 @@ def _anchors(words_col: str, n: int) -> Column:
     k = min(ANCHOR, n)
     step = n - k + 1
     places = F.sequence(F.lit(0), F.floor((F.size(words_col) - k) / step).cast("int"))
-    found = F.transform(places, lambda i: F.struct(F.lit(n).alias("len"), (i * step + 1).alias("at"), _hash(F.slice(words_col, i * step + 1, k)).alias("a")))
+    found = F.transform(places, lambda i: F.struct(F.lit(n).alias("len"), (i * step + 1).alias("at"), _hash(words_col, i * step, k).alias("a")))
     return F.when(F.size(words_col) >= n, found).otherwise(F.array().cast("array<struct<len:int,at:int,a:bigint>>"))
 
 
-def window_hits(docs: DataFrame, items: DataFrame, key: list[str], window: int = WINDOW, words_col: str = "w") -> DataFrame:
-    """(key, pos, len, item_id): every occurrence of a benchmark window in ``docs``' word arrays; pos counts from 1.
+def _anchored(keyed: DataFrame, marks: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, th, n, len, first, part): one row for each of ``keyed`` (doc_id, th, w) with len 0, and one for each of its
+    anchors that is among ``marks`` (len, a), with the words around it and the place of the first of them.
+
+    One pass over the texts: the words of a document are cut out, counted and looked up together.
+    """
+    own = F.array(F.struct(F.lit(0).alias("len"), F.lit(0).alias("at"), F.lit(0).cast("long").alias("a")))
+    # Through explode, or the text would be cut anew for each anchor; and the anchors are a column of their own, for inside
+    # the next explode they would keep it out of the generated code.
+    once = keyed.select("doc_id", "th", F.explode_outer(F.array("w")).alias("w"))
+    listed = once.select("doc_id", "th", "w", F.size("w").alias("n"), F.concat(own, *(_anchors("w", n) for n in lengths)).alias("s"))
+    k, size = F.least(F.lit(ANCHOR), F.col("len")), F.col("n")
+    first = F.greatest(F.lit(1), F.col("at") - (F.col("len") - k))
+    last = F.least(F.col("at") + F.col("len") - 1, size)
+    part = F.when(F.col("len") > 0, F.slice("w", first, last - first + 1))
+    around = ["doc_id", "th", "n", "len", first.alias("first"), part.alias("part")]
+    spread = F.explode_outer("s").alias("s")
+    if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        each = listed.select("doc_id", "th", "n", "w", spread).select("doc_id", "th", "n", "w", "s.len", "s.at", "s.a")
+        found = each.join(F.broadcast(marks.withColumn("found", F.lit(True))), ["len", "a"], "left")
+        return materialize(found.where("len = 0 or found").select(*around))
+    # Too many to broadcast: anchors are joined by shuffle without words, and the few texts that have some are read again.
+    each = listed.select("doc_id", "th", "n", spread).select("doc_id", "th", "n", "s.len", "s.at", "s.a")
+    found = materialize(each.where("len = 0").unionAll(each.where("len > 0").join(marks, ["len", "a"], "left_semi").select(*each.columns)))
+    held = found.where("len > 0").distinct().select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n", "len", "at")
+    texts = keyed.join(held, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).select(*around)
+    none = F.lit(None).cast("array<string>").alias("part")
+    return materialize(found.where("len = 0").select("doc_id", "th", "n", "len", F.lit(1).alias("first"), none).unionAll(texts))
+
+
+def window_hits(keyed: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """The (doc_id, th, n) of every row of ``keyed`` (doc_id, th, w), n its words; and (doc_id, th, n, pos, len, item_id):
+    every occurrence of a benchmark window in them, pos counting from 1.
 
     A window of L words holds exactly one k-gram that starts at a multiple of L - k + 1, so only these anchors of a
     document are looked up in the broadcast set of the windows' k-grams; around an anchor that is found, all windows
@@ -52,26 +85,26 @@ def window_hits(docs: DataFrame, items: DataFrame, key: list[str], window: int =
     """
     grams = benchmark_windows(items, window=window)
     lengths = sorted(r["len"] for r in grams.select("len").distinct().collect())  # at most ``window`` numbers
-    if not lengths:
-        return docs.select(*key, F.lit(1).alias("pos"), F.lit(1).alias("len"), F.lit("").alias("item_id")).limit(0)
-    at = F.concat(*(_anchors(words_col, n) for n in lengths))
     cut = F.split("gram", " ")
     k = F.least(F.lit(ANCHOR), F.col("len"))
-    anchors = grams.select("len", F.explode(F.transform(F.sequence(F.lit(1), F.col("len") - k + 1), lambda i: _hash(F.slice(cut, i, k)))).alias("a")).distinct()
-    # The outer form: for the other one Spark adds a filter that makes each document's anchors twice.
-    spread = docs.select(*key, words_col, F.explode_outer(at).alias("s")).where("s is not null").select(*key, words_col, F.col("s.len").alias("len"), F.col("s.at").alias("at"), F.col("s.a").alias("a"))
-    held = spread.join(_small(anchors), ["len", "a"], "left_semi")
-    lowest = F.greatest(F.lit(1), F.col("at") - (F.col("len") - k))
-    highest = F.least(F.col("at"), F.size(words_col) - F.col("len") + 1)
-    held = held.where(highest >= lowest).select(*key, "len", F.explode(F.transform(F.sequence(lowest, highest), lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(words_col, i, F.col("len")), " ").alias("gram")))).alias("s"))
-    held = held.select(*key, "len", F.col("s.pos").alias("pos"), F.col("s.gram").alias("gram"))
-    return held.withColumn("h", F.xxhash64("gram")).join(_small(grams), ["len", "h", "gram"]).select(*key, "pos", "len", "item_id")
+    marks = grams.select("len", F.explode(F.transform(F.sequence(F.lit(1), F.col("len") - k + 1), lambda i: _hash(cut, i - 1, k))).alias("a")).distinct()
+    found = _anchored(keyed, marks, lengths)
+    runs = F.transform(F.sequence(F.lit(1), F.size("part") - F.col("len") + 1), lambda i: F.struct((F.col("first") + i - 1).alias("pos"), F.array_join(F.slice("part", i, F.col("len")), " ").alias("gram")))
+    near = found.where((F.col("len") > 0) & (F.size("part") >= F.col("len"))).select("doc_id", "th", "n", "len", F.explode(runs).alias("s"))
+    near = near.select("doc_id", "th", "n", "len", "s.pos", "s.gram").withColumn("h", F.xxhash64("gram"))
+    # Written once: it is read for the words and for the items, and holds nothing but hits.
+    hits = materialize(near.join(_small(grams), ["len", "h", "gram"]).select("doc_id", "th", "n", "pos", "len", "item_id"))
+    return found.where("len = 0").select("doc_id", "th", "n"), hits
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, th, w): th stands for the text, so that repeated ids keep apart."""
     text = F.col(f"`{text_col}`").cast("string")
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.xxhash64(text, F.length(text)), F.lit(0)).alias("th"), words(text).alias("w"))
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), _text_key(text).alias("th"), words(text).alias("w"))
+
+
+def _text_key(text: Column) -> Column:
+    return F.coalesce(F.xxhash64(text, F.length(text)), F.lit(0))
 
 
 def _covered(hits: DataFrame) -> DataFrame:
@@ -92,23 +125,20 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     without words never hit; an item with a null id marks words but isn't listed. Repeated rows are kept. Empty
     tables: no documents give no rows, no items leave all clean. Other columns are ignored.
     """
-    keyed = _keyed(docs, id_col, text_col)
-    # Written once: it is read for the words and for the items, and holds nothing but hits.
-    hits = materialize(window_hits(keyed, items, ["doc_id", "th"], window))
+    rows, hits = window_hits(_keyed(docs, id_col, text_col), items, window)
     found = _covered(hits).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n_hit", "items")
-    rows = keyed.select("doc_id", "th", F.size("w").cast("long").alias("n_words"))
     joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left")
-    hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return joined.select("doc_id", "n_words", hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"))
+    hit, n = F.coalesce("n_hit", F.lit(0)).cast("long"), F.col("n").cast("long")
+    return joined.select("doc_id", n.alias("n_words"), hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((hit > 0) & (hit * 20 >= n)).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` without the contaminated ones, by the rule of ``contamination``; all others stay as they are."""
-    keyed = _keyed(docs, id_col, text_col).withColumn("n", F.size("w"))
-    hits = materialize(window_hits(keyed, items, ["doc_id", "th", "n"], window))
+    """``docs`` without the contaminated ones, by the rule of ``contamination``; all others stay as they are, with all
+    their columns, whatever their names."""
+    _, hits = window_hits(_keyed(docs, id_col, text_col), items, window)
     n = hits.select("doc_id", "th", "n").distinct().select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n")
-    bad = _covered(hits).join(n, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).where("n_hit > 0 and n_hit * 20 >= n").select("_d", "_t")
-    bad = materialize(bad)
+    key, th = fresh(docs.columns, "_d", "_t")
+    bad = _covered(hits).join(n, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).where("n_hit > 0 and n_hit * 20 >= n")
+    bad = materialize(bad.select(F.col("_d").alias(key), F.col("_t").alias(th)))
     text = F.col(f"`{text_col}`").cast("string")
-    th = F.coalesce(F.xxhash64(text, F.length(text)), F.lit(0))
-    return docs.join(_small(bad), F.col(f"`{id_col}`").eqNullSafe(F.col("_d")) & (th == F.col("_t")), "left_anti")
+    return docs.join(_small(bad), F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (_text_key(text) == F.col(th)), "left_anti")
