@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -15,10 +16,10 @@ from tempora.llm.common import materialize
 from tempora.llm.graph import connected_components
 
 BITS, RADIUS, WORDS, SEED = 64, 4, 4, 42
-#: From so many fingerprints on, a bucket isn't compared pair by pair.
-HOT_BUCKET = 64
-#: Shingles whose hashes are summed at once, and bytes of packed variants in one group.
-SHINGLE_BLOCK, PACK_BYTES = 1 << 16, 16 << 20
+#: Shingles whose hashes are summed at once, variants that a group should hold, and that a task sorts at once.
+SHINGLE_BLOCK, GROUP_VARIANTS, SORT_VARIANTS = 1 << 16, 1 << 20, 1 << 23
+#: Low bits of a variant that can name its group, at most.
+MAX_GROUP_BITS = 24
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -52,10 +53,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _ball() -> np.ndarray:
-    """Masks of all points within half the radius: none, one or two bits."""
-    ones = [1 << i for i in range(BITS)]
-    return np.array([0, *ones, *(a | b for a, b in itertools.combinations(ones, 2))], np.uint64)
+@functools.lru_cache(maxsize=256)
+def _ball(first: int, end: int, radius: int = RADIUS // 2) -> np.ndarray:
+    """Masks of up to ``radius`` of the bits from ``first`` to before ``end``."""
+    return np.array([sum(1 << b for b in some) for n in range(radius + 1) for some in itertools.combinations(range(first, end), n)], np.uint64)
 
 
 def _local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,121 +76,91 @@ def _local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, fp) sorted by key. Small buckets: verified links, as stars; large ones: (fp, null) for each member."""
-    keys, fps = np.empty(0, np.int64), np.empty(0, np.uint64)
-
-    def out(u: np.ndarray, v: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-        if len(u):
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.nulls(len(u), pa.int64()) if v is None else pa.array(v.view(np.int64))], ["u", "v"])
-
-    def emit(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(keys):
-            return
-        cut = np.flatnonzero(np.diff(keys)) + 1
-        sizes = np.diff(np.concatenate([[0], cut, [len(keys)]]))
-        per_row = np.repeat(sizes, sizes)
-        yield from out(np.unique(fps[per_row > HOT_BUCKET]), None)
-        keys, fps = (x[(per_row > 1) & (per_row <= HOT_BUCKET)] for x in (keys, fps))
-        a, b = [], []
-        for d in range(1, HOT_BUCKET):
-            at = np.flatnonzero(keys[d:] == keys[:-d]) if len(keys) > d else np.empty(0, np.int64)
-            if not len(at):
-                break
-            at = at[np.bitwise_count(fps[at] ^ fps[at + d]) <= RADIUS]
-            a.append(fps[at])
-            b.append(fps[at + d])
-        if a:
-            yield from out(*_local_roots(np.concatenate(a), np.concatenate(b)))
-
-    hot = None  # the key of a bucket that is already known to be large
-    for batch in batches:
-        keys = np.concatenate([keys, batch.column(0).to_numpy()])
-        fps = np.concatenate([fps, batch.column(1).to_numpy().view(np.uint64)])
-        if hot is not None:
-            of_hot = keys == hot
-            yield from out(np.unique(fps[of_hot]), None)
-            keys, fps = keys[~of_hot], fps[~of_hot]
-        if not len(keys):
-            continue
-        tail = int(np.searchsorted(keys, keys[-1]))
-        yield from emit(keys[:tail], fps[:tail])
-        keys, fps = keys[tail:], fps[tail:]
-        hot = None
-        if len(keys) > HOT_BUCKET:
-            hot = keys[0]
-            yield from out(np.unique(fps), None)
-            keys, fps = keys[:0], fps[:0]
-    yield from emit(keys, fps)
-
-
-def _whole_ball(hot: DataFrame) -> DataFrame:
-    """Links (u, v) among ``hot`` fingerprints by the whole ball: all that share a variant are within
-    the radius of each other, so each is tied to the smallest of them and no pairs are listed.
-
-    Variants travel packed: one row per batch and group, never one per variant.
-    """
-    ball = _ball()
-    groups = max(1, -(-hot.count() * len(ball) * 16 // PACK_BYTES))
+def _variants(owners: np.ndarray, group: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The variants of the ``owners``, within half the radius, whose low ``bits`` bits are ``group``; and whose each is."""
+    low = np.uint64((1 << bits) - 1)
+    flipped = np.bitwise_count((owners ^ np.uint64(group)) & low)
+    based = (owners & ~low) | np.uint64(group)
+    found, whose = [], []
+    for n in range(RADIUS // 2 + 1):  # bits that are flipped to get into the group; the others may be flipped above them
+        some = np.flatnonzero(flipped == n)
+        if len(some):
+            ball = _ball(bits, BITS, RADIUS // 2 - n)
+            found.append((based[some, None] ^ ball).ravel())
+            whose.append(np.repeat(some, len(ball)))
+    return np.concatenate(found), np.concatenate(whose)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
-            for at in range(0, len(fps), 2000):
-                some = fps[at : at + 2000]
-                variants, owners = (some[:, None] ^ ball).ravel(), np.repeat(some, len(ball))
-                group = ((variants * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(groups)
-                order = np.argsort(group, kind="stable")
-                variants, owners, group = variants[order], owners[order], group[order]
-                cut = np.flatnonzero(np.diff(group)) + 1
-                first = np.concatenate([[0], cut])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(group[first].astype(np.int32)), pa.array([x.tobytes() for x in np.split(variants, cut)], pa.binary()), pa.array([x.tobytes() for x in np.split(owners, cut)], pa.binary())],
-                    ["grp", "variants", "owners"],
-                )
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(parts: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-            variants, owners = (np.frombuffer(b"".join(x), np.uint64) for x in zip(*parts))
-            order = np.lexsort((owners, variants))
-            variants, owners = variants[order], owners[order]
-            first = np.concatenate([[True], variants[1:] != variants[:-1]])
-            least = owners[first][np.cumsum(first) - 1]
-            u, v = _local_roots(owners[least != owners], least[least != owners])
-            if len(u):
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
-
-        group, parts = None, []
-        for batch in batches:
-            for g, a, b in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if g != group and parts:
-                    yield from links(parts)
-                    parts = []
-                group = g
-                parts.append((a, b))
-        if parts:
-            yield from links(parts)
 
-    packed = hot.mapInArrow(pack, "grp int, variants binary, owners binary")
-    return packed.repartition(groups, "grp").sortWithinPartitions("grp").mapInArrow(meet, "u long, v long")
+def _meet(owners: np.ndarray, group: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links among the fingerprints that have a variant of the group in common, as stars.
+
+    Those that share a variant are each tied to the smallest of them, and the two are compared; no pairs are listed.
+    """
+    owners = np.unique(owners)
+    links = []
+    ball = len(_ball(bits, BITS))
+    # A crowded group is gone through slice by slice, by the next bits of its variants: memory stays bounded.
+    slices = 1
+    while len(owners) * ball > SORT_VARIANTS * slices and slices < 1 << 12:
+        slices *= 2
+    step = max(1, SORT_VARIANTS // ball)
+    for part in range(slices):
+        found, whose = [], []
+        for at in range(0, len(owners), step):
+            v, w = _variants(owners[at : at + step], group, bits)
+            if slices > 1:
+                keep = (v >> np.uint64(bits)) & np.uint64(slices - 1) == part
+                v, w = v[keep], w[keep]
+            found.append(v)
+            whose.append(w + at)
+        v, w = np.concatenate(found), np.concatenate(whose)
+        order = np.argsort(v, kind="stable")  # owners are in order within equal variants
+        v, w = v[order], w[order]
+        first = np.concatenate([[True], v[1:] != v[:-1]])
+        least = w[first][np.cumsum(first) - 1]
+        met = np.flatnonzero(least != w)
+        a, b = owners[w[met]], owners[least[met]]
+        close = np.bitwise_count(a ^ b) <= RADIUS
+        links.append(_local_roots(a[close], b[close]))
+    return np.concatenate([a for a, _ in links]), np.concatenate([b for _, b in links])
 
 
 def link_fingerprints(fps: DataFrame) -> DataFrame:
     """Links (u, v) that connect all distinct fingerprints within ``RADIUS`` bits of each other.
 
     Not every link is listed, but fingerprints are connected by the result exactly if they are by all links.
-    Of two fingerprints at most four bits apart, one 32-bit half differs in at most two bits. So each emits the
-    ball of half that radius around either half (66 variants), and the two meet at a variant of that half.
-    Colliding pairs are verified on all 64 bits. Members of crowded buckets meet at variants of the whole word.
+    Every fingerprint emits all 2,081 variants within half the radius, and two within the radius meet at one. Variants are
+    shuffled by their low bits: as those of a fingerprint fall into few such groups, what travels is the
+    fingerprint with the group's bits, and its variants of that group are written out where they arrive.
     """
-    masks = F.array(F.lit(0), *(F.lit(1 << i) for i in range(BITS // 2)))
-    low = F.col("fp").bitwiseAND(0xFFFFFFFF)
-    high = F.shiftrightunsigned(F.col("fp"), 32)
-    halves = F.explode(F.array(F.struct(F.lit(0).alias("half"), low.alias("x")), F.struct(F.lit(1).alias("half"), high.alias("x"))))
-    keyed = fps.select("fp", halves.alias("h")).select("fp", "h", F.explode(masks).alias("mask"))
-    keyed = keyed.select((F.col("h.x").bitwiseXOR(F.col("mask")) + F.col("h.half") * (1 << 32)).alias("key"), "fp")
-    met = materialize(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_compare, "u long, v long"))
-    return met.where("v is not null").unionByName(_whole_ball(met.where("v is null").select("u").distinct()))
+    n, bits = fps.count(), 0
+    while bits < MAX_GROUP_BITS and n * len(_ball(0, BITS)) > GROUP_VARIANTS << bits:
+        bits += 2
+    masks = F.array(*(F.lit(int(m)).cast("long") for m in _ball(0, bits)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+        for batch in batches:
+            groups, owners = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            cut = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(groups)]
+            for a, b in itertools.pairwise(cut):
+                if a == b:
+                    continue
+                if held and groups[a] != group:
+                    yield out(held, group)
+                    held = []
+                group = int(groups[a])
+                held.append(owners[a:b])
+        if held:
+            yield out(held, group)
+
+    def out(held: list[np.ndarray], group: int) -> pa.RecordBatch:
+        u, v = _meet(np.concatenate(held), group, bits)
+        return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
+
+    low = F.col("fp").bitwiseAND((1 << bits) - 1)
+    spread = fps.select("fp", F.explode(masks).alias("mask")).select(low.bitwiseXOR(F.col("mask")).alias("grp"), "fp")
+    return materialize(spread.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, "u long, v long"))
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:

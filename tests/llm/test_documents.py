@@ -97,8 +97,9 @@ def components(n, links):
 
 
 def test_simhash(spark, rows, monkeypatch):
-    for hot in (64, 2):  # small buckets pair by pair, and crowded ones by the whole ball
-        monkeypatch.setattr(simhash, "HOT_BUCKET", hot)
+    for variants, at_once in ((1 << 20, 1 << 23), (1 << 15, 1 << 13)):  # one group; many groups, some in slices
+        monkeypatch.setattr(simhash, "GROUP_VARIANTS", variants)
+        monkeypatch.setattr(simhash, "SORT_VARIANTS", at_once)
         out = simhash.simhash_groups(frame(spark, rows)).collect()
         fps = [brute_fingerprint(t) for _, t, *_ in rows]
         assert Counter((r[0], np.uint64(f).astype(np.int64).item()) for r, f in zip(rows, fps)) == Counter((r.doc_id, r.fp) for r in out)
@@ -127,6 +128,22 @@ def test_simhash_chain(spark):
     assert len(set(zip(found, want))) == len(set(found)) == len(set(want))
 
 
+def test_variants_by_group():
+    """All groups together have the whole ball of every fingerprint, each variant once."""
+    rng = np.random.default_rng(3)
+    owners = np.unique(rng.integers(0, 1 << 63, 5, dtype=np.uint64))
+    for bits in (0, 2, 6):
+        found = Counter()
+        for group in range(1 << bits):
+            low = np.uint64((1 << bits) - 1)
+            reached = np.array([o for o in owners if int(o & low) ^ group in simhash._ball(0, bits).tolist()], np.uint64)
+            if len(reached):
+                v, w = simhash._variants(reached, group, bits)
+                assert all(int(x & low) == group for x in v)
+                found.update((int(reached[i]), int(x)) for x, i in zip(v, w))
+        assert found == Counter((int(o), int(o) ^ m) for o in owners for m in simhash._ball(0, 64).tolist())
+
+
 def test_keep_one(spark, rows):
     out = simhash.keep_one_of_each(frame(spark, rows))
     assert out.columns == frame(spark, rows).columns
@@ -167,6 +184,14 @@ def test_contamination(spark, rows):
     assert Counter(tuple(r) for r in digest.collect()) == want
     kept = decontaminate.drop_contaminated(frame(spark, planted), spark.createDataFrame(items, "item_id long, text string"))
     assert Counter(r.doc_id for r in kept.collect()) == sum((Counter({k[0]: n}) for k, n in want.items() if not k[5]), Counter())
+    with pytest.MonkeyPatch.context() as patch:  # too many windows to broadcast
+        patch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+        df = frame(spark, planted).withColumns({"_d": F.lit(1), "_t": F.lit("x"), "n": F.lit(2), "w": F.lit(3)})
+        found = decontaminate.contamination(df, spark.createDataFrame(items, "item_id long, text string"))
+        digest = found.select("doc_id", "n_words", "n_hit", F.size("items"), F.sha2(F.array_join("items", ","), 256), "contaminated")
+        assert Counter(tuple(r) for r in digest.collect()) == want
+        again = decontaminate.drop_contaminated(df, spark.createDataFrame(items, "item_id long, text string"))
+        assert again.columns == df.columns and again.count() == kept.count()
     none = decontaminate.contamination(frame(spark, rows), spark.createDataFrame([], "item_id long, text string"))
     assert none.where("n_hit > 0").count() == 0 and none.count() == len(rows)
 
@@ -186,7 +211,7 @@ def test_token_counts(spark, rows):
 def test_token_files(spark, rows):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    known = [r for r in rows if r[0] is not None] + [(101, "ΑΣ Σ <|endoftext|>İ é it's", None, None), (102, "日本 " * 500, None, None)]
+    known = [r for r in rows if r[0] is not None] + [(2**62 + k, f"large id {k}", None, None) for k in range(9)] + [(101, "ΑΣ Σ <|endoftext|>İ é it's", None, None), (102, "日本 " * 500, None, None)]
     out = token_files.token_file_digest(spark, token_files.write_token_files(frame(spark, known), path, 1, docs_per_file=9)).collect()
     want, start = Counter(), 0
     for i, t, *_ in sorted(known, key=lambda r: r[0]):
@@ -195,6 +220,9 @@ def test_token_files(spark, rows):
         start += len(ids)
     assert Counter(tuple(r) for r in out) == want
     assert token_files.token_file_digest(spark, token_files.write_token_files(frame(spark, []), path, 1)).count() == 0
+    mixed = token_files.token_file_digest(spark, token_files.write_token_files(frame(spark, [*known, (None, "first of all", None, None)]).coalesce(1), path, 1, docs_per_file=9)).collect()
+    lone = next(r for r in mixed if r.doc_id is None)
+    assert lone.start == 0 and Counter((r.doc_id, r.start - lone.n_tokens, *r[2:]) for r in mixed if r.doc_id is not None) == want
 
 
 @pytest.mark.parametrize("ranks", [[], [0], [255, 256, 65535, 65536, 2**24, 2**32 - 1, 0], list(range(0, 70000, 7))])
@@ -267,7 +295,7 @@ def test_quality(spark):
         text = sentence(rng, 120) if good else " ".join(w.upper() + "!!" for w in sentence(rng, 60).split()) + " " + sentence(rng, 60)
         docs.append((i, text, "en", "s"))
         labels.append((i, int(good), 0))
-    docs += [(1000, None, None, None), (1001, "", None, None), (1002, " \n", None, None), (5, docs[5][1], "en", "s"), (None, "no id", None, None)]
+    docs += [(1000, None, None, None), (1001, "", None, None), (1002, " \n", None, None), (6, sentence(rng, 20_000), "en", "s"), (5, docs[5][1], "en", "s"), (None, "no id", None, None)]
     labels += [(5, 1, 0), (7, None, 0), (None, 0, 0), (9999, 1, 0)]
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     out = quality.quality_scores(frame(spark, docs), table).collect()
@@ -306,7 +334,7 @@ def test_language(spark):
     rng = random.Random(4)
     kinds = {"aa": ["kaminot", "lurebas", "ominda"], "bb": ["zwißch", "übrückt", "schnöq"], "cc": ["ñandúes", "ción", "llevará"]}
     docs = [(i, " ".join(rng.choice(kinds[k]) + rng.choice("xyz") for _ in range(30)), k, "s") for i, k in enumerate(rng.choice(list(kinds)) for _ in range(300))]
-    docs += [(1000, None, "aa", None), (1001, "", "aa", None), (1002, "123 …!", "bb", None), (1003, "kaminotx", None, None), (3, docs[3][1], docs[3][2], "s"), (None, "lurebasy", "aa", None)]
+    docs += [(1000, None, "aa", None), (1001, "", "aa", None), (1002, "123 …! ½ ² Ⅷ ⓐ", "bb", None), (1004, " ".join(["ñandúes", "ción"] * 20_000), "cc", "s"), (1003, "kaminotx", None, None), (3, docs[3][1], docs[3][2], "s"), (None, "lurebasy", "aa", None)]
     out = language.language_ids(frame(spark, docs)).collect()
     assert len(out) == len(docs) and all(0 <= r.score <= 1 for r in out)
     found = {r.doc_id: r.lang_pred for r in out}
