@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import unicodedata
 from collections.abc import Iterator
@@ -28,6 +29,19 @@ def normalise(text: str) -> str:
     return text.lower() if "Σ" not in text else "".join(map(str.lower, text))
 
 
+@functools.lru_cache(maxsize=2)
+def word_cache(path: str) -> WordCache:
+    """The worker's own, kept from task to task."""
+    encoding, ids, _, special_ids = pretokens.load(path)
+    piece = encoding._core_bpe.encode_single_piece
+
+    def encode(words: list[str]) -> Iterator[list[int]]:
+        for word in words:
+            yield [special_ids[word]] if word in special_ids else [ids[r] for r in piece(word.encode("utf-8", "surrogatepass") + pretokens.WORD_END)]
+
+    return WordCache(encode)
+
+
 def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, bounds: list[int], id_col: str, text_col: str) -> DataFrame:
     """(file_no, doc_id, n, ids): compressed little-endian ids of every whole text, the end id last."""
     _, of_rank, special, special_ids = pretokens.load(tokenizer_path)
@@ -35,14 +49,7 @@ def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, bounds: list
     width = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, ids, _, _ = pretokens.load(tokenizer_path)
-        piece = encoding._core_bpe.encode_single_piece
-
-        def encode(words: list[str]) -> Iterator[list[int]]:
-            for word in words:
-                yield [special_ids[word]] if word in special_ids else [ids[r] for r in piece(word.encode("utf-8", "surrogatepass") + pretokens.WORD_END)]
-
-        cache = WordCache(encode)
+        cache = word_cache(tokenizer_path)
         split, at_special = pretokens.Splitter(pretokens.WORD_PATTERN), pretokens.special_splitter(special)
         pack = zstandard.ZstdCompressor(level=1).compress
 
@@ -54,8 +61,10 @@ def encode_words(docs: DataFrame, tokenizer_path: str, end_id: int, bounds: list
             return list(itertools.chain.from_iterable([part] if part in special_ids else split(normalise(part)) for part in at_special.split(text)))
 
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            files = np.searchsorted(cuts, np.nan_to_num(keys.astype(float), nan=-np.inf) if keys.dtype.kind == "f" else keys, side="left").astype(np.int32)
+            # Null ids come first; as whole numbers, since a float can't tell large ids apart.
+            known = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            keys = batch.column(0).fill_null(0).to_numpy()
+            files = np.where(known, np.searchsorted(cuts, keys, side="left"), 0).astype(np.int32)
             texts, at = batch.column(1), 0
             while at < batch.num_rows:
                 first, some, size = at, [], 0

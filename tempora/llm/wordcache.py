@@ -41,25 +41,31 @@ class WordCache:
 
     def lookup(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in order, number of ids of each word)."""
-        fresh = sorted(set(words).difference(self.number))
-        if fresh and len(self.number) + len(fresh) > self.rows and self.number:
-            self._shrink()
-            fresh = sorted(set(words).difference(self.number))
-        if fresh:
+        number = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            unknown = list(map(words.__getitem__, missing.tolist()))
+            fresh = sorted(set(unknown))
+            if self.number and len(self.number) + len(fresh) > self.rows:
+                self._shrink()
+                number = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int64, len(words))
+                missing = np.flatnonzero(number < 0)
+                unknown = list(map(words.__getitem__, missing.tolist()))
+                fresh = sorted(set(unknown))
             flat, sizes = array.array("i"), array.array("q")
             for ids in self.encode(fresh):
                 flat.extend(ids)
                 sizes.append(len(ids))
             known = len(self.start) - 1
             self.number.update(zip(fresh, range(known, known + len(fresh))))
+            number[missing] = np.fromiter(map(self.number.__getitem__, unknown), np.int64, len(unknown))
             if flat:
                 self.ids = np.concatenate([self.ids, np.frombuffer(flat, np.int32)])
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.frombuffer(sizes, np.int64))])
             self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
-        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+            for w in [w for w in fresh if len(w) > CHARS]:
+                del self.number[w]
         self.uses += np.bincount(number, minlength=len(self.uses))
-        for w in [w for w in fresh if len(w) > CHARS]:
-            del self.number[w]
         return self._gather(number)
 
     def encode_lists(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
