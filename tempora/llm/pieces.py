@@ -165,6 +165,12 @@ def load(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+@functools.lru_cache(maxsize=2)
+def word_cache(path: str) -> WordCache:
+    """The worker's own, kept from task to task."""
+    return WordCache(load(path).encode_sorted)
+
+
 _word = re.compile(f"{MARK}+[^{MARK}]*").findall
 
 
@@ -180,7 +186,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(load(model_path).encode_sorted)
+        cache = word_cache(model_path)
         for batch in batches:
             texts, at = batch.column(2), 0
             while at < batch.num_rows:
