@@ -14,8 +14,10 @@ from tempora.llm import pretokens
 
 #: Frequent pre-tokens in the broadcast table and their most characters: at most 4 MB.
 TABLE_ROWS, TABLE_CHARS = 1 << 15, 32
+#: Texts that the table is made from on average, and tasks that count their pre-tokens: the driver gets as many lists.
+SAMPLE_ROWS, SAMPLE_TASKS, SAMPLE_SEED = 10_000, 16, 5
 #: Candidates that a task reports, and distinct pre-tokens that it counts before it drops rare ones.
-TASK_ROWS, TASK_COUNTS = 1 << 13, 1 << 18
+TASK_ROWS, TASK_COUNTS = 1 << 15, 1 << 18
 #: Lengths that a worker keeps besides the table, and the most characters of a kept pre-token.
 CACHE_ROWS, CACHE_CHARS = 1 << 18, 64
 
@@ -38,10 +40,10 @@ class Lengths(dict):
 
 
 def frequent_pretokens(texts: DataFrame, text_col: str = "text", rows: int = TABLE_ROWS) -> list[str]:
-    """Frequent pre-tokens of all texts, the most frequent first.
+    """Frequent pre-tokens of a seeded sample of some ``SAMPLE_ROWS`` whole texts, the most frequent first.
 
-    Every task counts its own, dropping rare ones when it has too many, and reports a bounded list; only these lists
-    meet. The choice affects speed alone: results don't depend on it.
+    A few tasks count those of the sample, drop rare ones when they have too many, and report one bounded list each,
+    which the driver adds up: no pre-token is shuffled. The choice affects speed alone: results don't depend on it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,13 +52,19 @@ def frequent_pretokens(texts: DataFrame, text_col: str = "text", rows: int = TAB
             for text in batch.column(0).to_pylist():
                 if text:
                     counts.update(split(text))
-            if len(counts) > TASK_COUNTS:
-                counts = Counter(dict(counts.most_common(TASK_COUNTS // 4)))
+                if len(counts) > TASK_COUNTS:
+                    counts = Counter(dict(counts.most_common(TASK_COUNTS // 4)))
         top = [(p, n) for p, n in counts.most_common(TASK_ROWS) if len(p) <= TABLE_CHARS]
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["piece", "n"])
 
-    found = texts.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(run, "piece string, n long")
-    return [r["piece"] for r in found.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(rows).collect()]
+    some = texts.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+    share = min(1.0, SAMPLE_ROWS / max(1, texts.count()))
+    if share < 1:
+        some = some.sample(share, SAMPLE_SEED)
+    total: Counter = Counter()
+    for r in some.repartition(SAMPLE_TASKS).mapInArrow(run, "piece string, n long").collect():
+        total[r["piece"]] += r["n"]
+    return [p for p, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:rows]]
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
