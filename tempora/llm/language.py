@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +17,8 @@ GRAMS, SLOTS = 3, 1 << 16
 TRAIN_ROWS, TRAIN_TOTAL, LANDMARKS, RIDGE = 300, 6000, 256, 1e-3
 #: Documents whose presence rows are multiplied at once.
 BLOCK = 64
-_letter = re.compile(r"[^\W\d_]").search
+#: A letter is of Unicode category L.
+_letter = regex.compile(r"\p{L}").search
 UNKNOWN = "und"
 
 
@@ -48,14 +49,14 @@ class KernelModel:
 
     def __init__(self, sets: list[np.ndarray], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> None:
         self.langs = sorted(set(langs))
-        x = _rows(sets)
         target = np.where(np.array(langs)[:, None] == np.array(self.langs), 1.0, -1.0)
         chosen = np.unique(np.linspace(0, len(sets) - 1, min(landmarks, len(sets))).astype(int))
-        marks = x[chosen]
+        marks = _rows([sets[i] for i in chosen])
         values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
         good = values > 1e-6 * values.max()
         root = vectors[:, good] / np.sqrt(values[good])
-        features = np.hstack([(x @ marks.T) @ root, np.ones((len(x), 1))])
+        near = np.vstack([_rows(sets[at : at + BLOCK]) @ marks.T for at in range(0, len(sets), BLOCK)])
+        features = np.hstack([near @ root, np.ones((len(sets), 1))])
         weight = 1 / np.array([langs.count(v) for v in langs])  # every language counts alike
         gram = features.T @ (features * weight[:, None]) + ridge * np.eye(features.shape[1])
         solved = np.linalg.solve(gram, features.T @ (target * weight[:, None]))
