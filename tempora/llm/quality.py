@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from tempora.llm.common import held_out, in_small_batches
 
 PASSAGE_WORDS, HIDDEN, GATE = 64, 24, 12
-#: Labelled rows of each label that the model is fitted on at most, and passages of each: evenly spread ones of longer texts.
-TRAIN_ROWS, TRAIN_PASSAGES = 1500, 64
+#: Labelled rows of each label that the model is fitted on at most, with all their passages.
+TRAIN_ROWS = 1500
 EPOCHS, BATCH, RATE, DECAY, SEED = 12, 32, 0.01, 1e-3, 7
 ACCEPT = 0.7
 
@@ -132,7 +132,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [passages(t) for t in batch.column(2).to_pylist()]
-            found = [x if len(x) <= TRAIN_PASSAGES else x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)] for x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.astype(np.float16).tobytes() for x in found], pa.binary())], ["doc_id", "y", "bag"])
 
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
