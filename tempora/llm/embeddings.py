@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempora.llm.buckets import bucket_components
@@ -18,7 +18,7 @@ from tempora.llm.common import materialize
 TABLES, POINTS, SCALE, SEED = 16, 2, 0.66, 11
 COSINE = 0.95
 #: Vectors of a component that one task compares with as many others.
-BLOCK = 512
+BLOCK = 2048
 
 
 def _nearest_two(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -83,6 +83,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _close(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """Whether each row of x has the cosine or more with each row of y.
+
+    A product of matrices adds up in another order than a row does; where that could matter, the row's sum decides.
+    """
+    product = x @ y.T
+    close = product >= cosine
+    a, b = np.nonzero(np.abs(product - cosine) < 1e-9)
+    close[a, b] = _cosines(x[a], y[b]) >= cosine
+    return close
+
+
+def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (x * y).sum(1)
+
+
 def _by_width(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
     """Places of a batch's rows, by the length of their vector."""
     widths = np.array([len(v) for v in batch.column(column)])
@@ -106,7 +122,7 @@ def _linked(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
         for batch in batches:
             for at in _by_width(batch, 2):
                 some = batch.take(pa.array(at))
-                good = (_matrix(some.column(2)) * _matrix(some.column(3))).sum(1) >= cosine
+                good = _cosines(_matrix(some.column(2)), _matrix(some.column(3))) >= cosine
                 yield pa.RecordBatch.from_arrays([some.column(0).filter(pa.array(good)), some.column(1).filter(pa.array(good))], ["a", "b"])
 
     left = classes.select(F.col("h").alias("a"), F.col("v").alias("va"))
@@ -121,10 +137,9 @@ def _count_links(members: DataFrame, cosine: float) -> DataFrame:
     All links lie within components. A component is cut into blocks, and every two blocks of it are compared as one
     product of matrices; a task never holds more than two blocks, and no pairs are listed.
     """
-    blocks = members.withColumn("i", F.row_number().over(Window.partitionBy("c").orderBy("h")) - 1)
-    blocks = blocks.withColumn("block", F.floor(F.col("i") / BLOCK)).drop("i")
     n = members.groupBy("c").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    paired = blocks.join(n, "c").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = members.join(n, "c").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")))
+    paired = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     paired = paired.select("c", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "h", "v", "copies")
     group = ["c", "lo", "hi"]
 
@@ -134,10 +149,10 @@ def _count_links(members: DataFrame, cosine: float) -> DataFrame:
         x = _matrix(one.column("v").combine_chunks())
         lo = block == one.column("lo")[0].as_py()
         if lo.all():
-            close = x @ x.T >= cosine
+            close = _close(x, x, cosine)
             np.fill_diagonal(close, False)
             return pa.RecordBatch.from_arrays([pa.array(h), pa.array(close @ copies)], ["h", "links"])
-        close = x[lo] @ x[~lo].T >= cosine
+        close = _close(x[lo], x[~lo], cosine)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([h[lo], h[~lo]])), pa.array(np.concatenate([close @ copies[~lo], copies[lo] @ close]))], ["h", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
