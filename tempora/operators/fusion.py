@@ -59,6 +59,11 @@ def accel_spikes(rows: DataFrame, keys: list[str], t: str, axes: tuple[str, ...]
     return rows.withColumn("accel", F.sqrt(total)).withColumn("spike", F.col("accel") > limit).drop(*(f"_{k}{c}" for k in "va" for c in axes))
 
 
+def adaptive_sigma(fixes: DataFrame, keys: list[str], sigma: str, given: float) -> DataFrame:
+    """The odometry's sigma of each sequence: ``given``, or twice the median of its fixes' if that is more."""
+    return fixes.groupBy(*keys).agg(F.greatest(F.lit(given), 2 * F.percentile(sigma, F.lit(0.5))).alias("sigma"))
+
+
 def outliers(residuals: DataFrame, keys: list[str], t: str, residual: str, sigma: str, k: float = 5.0, floor: float = 0.2, dilate: float = 0.6) -> DataFrame:
     """Rows with ``outlier``: a residual above max(k sigma, floor), or within ``dilate`` seconds of one."""
     return near_flag(residuals, keys, t, F.col(residual) > F.greatest(k * F.col(sigma), F.lit(floor)), dilate, "outlier")

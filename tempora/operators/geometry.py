@@ -152,6 +152,11 @@ def circle_fit(points: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, cx.alias("cx"), cy.alias("cy"), r.alias("r"))
 
 
+def near_radius(found: DataFrame, r: str, target: float = 0.432, slack: float = 0.010) -> DataFrame:
+    """Circles whose radius is within ``slack`` of the target's; one that wasn't found (NaN or null) goes."""
+    return found.where(~F.isnan(r) & (F.abs(F.col(r) - target) < slack))
+
+
 def april_grid(rows: int, cols: int, size: float, spacing: float, spark) -> DataFrame:
     """tag_id, corner, x, y, z of a board's corners: tags of ``size`` with gaps of ``size * spacing``."""
     tags = spark.range(rows * cols).select(F.col("id").cast("int").alias("tag_id"))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.functions.scalar import dot, tokens
+from tempora.functions.scalar import dot, normalised, tokens
 from tempora.operators.temporal import merge_islands
 
 K1, B, EPSILON, RRF_K = 1.5, 0.75, 0.25, 60
@@ -25,6 +25,17 @@ def dense_topk(vectors: DataFrame, query: list[float], k: int = 100, id_col: str
     return ranked(found.orderBy(F.desc("score"), "id").limit(k))
 
 
+def index_of(vectors: DataFrame, vector_col: str = "embedding") -> DataFrame:
+    """The table a search reads: vectors of unit length, with all other columns as metadata."""
+    return vectors.withColumn(vector_col, normalised(F.col(vector_col)))
+
+
+def write_index(vectors: DataFrame, path: str, vector_col: str = "embedding") -> DataFrame:
+    """Write the index once and read it back: later searches scan it and normalise nothing."""
+    index_of(vectors, vector_col).write.mode("overwrite").parquet(path)
+    return vectors.sparkSession.read.parquet(path)
+
+
 def ranked(found: DataFrame) -> DataFrame:
     """Rank from 1 by score, ties by id, of a result of bounded size."""
     return found.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("score"), "id")))

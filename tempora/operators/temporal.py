@@ -11,7 +11,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def time_slice(df: DataFrame, t: str, lo: float | None = None, hi: float | None = None, closed: bool = True) -> DataFrame:
@@ -272,5 +271,53 @@ def trim_ends(df: DataFrame, keys: list[str], t: str, bad: Column, span: float)
     return kept.drop("_bad", "_a", "_b", "_lo", "_hi")
 
 
-def struct_type(df: DataFrame, names: list[str]) -> T.StructType:
-    return T.StructType([df.schema[n] for n in names])
+def trim_kinks(df: DataFrame, keys: list[str], t: str, accel: str, limit: float = 30.0, most: int = 15, keep: int = 2) -> DataFrame:
+    """Rows without those at either end of a sequence whose acceleration is above the limit, up to ``most`` at an end.
+
+    The beginning is cut first; at least ``keep`` rows stay. The inside is never touched.
+    """
+    up, down = Window.partitionBy(*keys).orderBy(t), Window.partitionBy(*keys).orderBy(F.desc(t))
+    bad = F.coalesce(F.col(accel) > limit, F.lit(False))
+    rows = df.withColumn("_i", F.row_number().over(up) - 1).withColumn("_j", F.row_number().over(down) - 1).withColumn("_good", ~bad)
+    ends = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(F.when(F.col("_good"), F.col("_i"))).alias("_a"), F.min(F.when(F.col("_good"), F.col("_j"))).alias("_b"))
+    first = F.greatest(F.least(F.coalesce("_a", "_n"), F.lit(most), F.col("_n") - keep), F.lit(0))
+    ends = ends.withColumn("_first", first)
+    ends = ends.withColumn("_last", F.greatest(F.least(F.coalesce("_b", "_n"), F.lit(most), F.col("_n") - F.col("_first") - keep), F.lit(0)))
+    kept = rows.join(ends, keys).where("_i >= _first and _j >= _last")
+    return kept.drop("_i", "_j", "_good", "_n", "_a", "_b", "_first", "_last")
+
+
+def trim_to_span(df: DataFrame, spans: DataFrame, keys: list[str], t: str, lo: str, hi: str) -> DataFrame:
+    """Rows within their sequence's span [lo, hi]; the nearest one stays where none is. ``spans``: one row a sequence."""
+    rows = df.join(spans.select(*keys, F.col(lo).alias("_lo"), F.col(hi).alias("_hi")), keys)
+    off = F.greatest(F.col("_lo") - F.col(t), F.col(t) - F.col("_hi"), F.lit(0))
+    rows = rows.withColumn("_off", off)
+    least = rows.groupBy(*keys).agg(F.min(F.struct("_off", F.col(t).alias("_t"))).alias("_m")).select(*keys, F.col("_m._off").alias("_least"), F.col("_m._t").alias("_t"))
+    kept = rows.join(least, keys).where((F.col("_off") == 0) | ((F.col("_least") > 0) & (F.col(t) == F.col("_t"))))
+    return kept.drop("_lo", "_hi", "_off", "_least", "_t")
+
+
+def by_position(left: DataFrame, right: DataFrame, keys: list[str], position: str, order: str, values: list[str]) -> DataFrame:
+    """Rows of ``left`` with the ``values`` of the right row at their position (from 0 by ``order``), cut to the last one."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1
+    placed = right.select(*keys, place.alias("_at"), *values)
+    last = placed.groupBy(*keys).agg(F.max("_at").alias("_last"))
+    rows = left.join(last, keys).withColumn("_at", F.greatest(F.least(F.col(position), F.col("_last")), F.lit(0)))
+    return rows.join(placed, [*keys, "_at"]).drop("_at", "_last")
+
+
+def frame_slices(df: DataFrame, keys: list[str], frame: Column, order: str) -> DataFrame:
+    """(keys, frame, start, end): places (from 0, end excluded) of each frame's rows in the sequence's order.
+
+    A frame's rows are counted first; the running sum is over frames, not over rows.
+    """
+    counts = df.groupBy(*keys, frame.alias("frame")).agg(F.count(order).alias("_n"))
+    end = F.sum("_n").over(Window.partitionBy(*keys).orderBy("frame").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return counts.withColumn("end", end).withColumn("start", F.col("end") - F.col("_n")).drop("_n")
+
+
+def sampled(df: DataFrame, keys: list[str], row: str, most: int = 100, seed: int = 0) -> DataFrame:
+    """Up to ``most`` rows of each sequence without replacement, by a seeded digest of ``row``, so that the choice is repeatable."""
+    mixed = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row).cast("string")).cast("binary"))
+    w = Window.partitionBy(*keys).orderBy(mixed, row)
+    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most).drop("_r")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: The share by which a sensor may be off, and seconds out of it until it counts as failed.
-TOLERANCE, TIMEOUT_S = 0.2, 80.0
+TOLERANCE, TIMEOUT_S = 0.1, 80.0
 
 
 def in_spec(measured: Column, expected: Column, minimum: Column, tolerance: float = TOLERANCE) -> Column:
