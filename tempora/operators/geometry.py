@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.functions.scalar import depth_code
+
 
 def transform_point(m: Column, x: Column, y: Column, z: Column) -> tuple[Column, Column, Column]:
     """A point through a 4x4 rigid transform."""
@@ -130,6 +132,23 @@ def pose_pairs(poses: DataFrame, keys: list[str], scan: str, pose: str, gap: int
     return poses.withColumn("later", F.lead(pose, gap).over(Window.partitionBy(*keys).orderBy(scan)))
 
 
+def depth_frames(points: DataFrame, cameras: DataFrame, mask: DataFrame, keys: list[str], scan: str, voxel: list[str], window: int, least: int, k: Column, width: int, height: int, near: float = 0.2, with_reference: bool = False) -> DataFrame:
+    """(keys, reference, u, v, depth_cm): a depth image for each reference scan; pixels without a row are empty.
+
+    Points (x, y, z on the map) of the scans around a reference whose voxel is seen often enough, and with
+    ``with_reference`` all of the reference's own once more, through ``cameras`` (keys, reference, m: from the map to
+    the camera) to pixels, the nearest of each, without those that ``mask`` (keys, reference, u, v) has.
+    """
+    held = consistent_points(points, keys, scan, voxel, window, least)
+    if with_reference:
+        held = held.unionByName(points.withColumn("reference", F.col(scan)))
+    seen = held.join(cameras.select(*keys, "reference", F.col("m").alias("_m")), [*keys, "reference"])
+    moved = transform_point(F.col("_m"), F.col("x"), F.col("y"), F.col("z"))
+    seen = seen.select(*keys, "reference", *(p.alias(c) for p, c in zip(moved, "xyz")))
+    nearest = zbuffer(project(seen, k, width, height, near), [*keys, "reference"])
+    return unmasked(nearest, mask, [*keys, "reference"]).select(*keys, "reference", "u", "v", depth_code(F.col("depth")).alias("depth_cm"))
+
+
 def coverage(frame: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Share of pixels with a value above zero, in percent."""
     return frame.groupBy(*keys).agg((F.avg(F.when(F.col(value) > 0, 1.0).otherwise(0.0)) * 100).alias("coverage"))
