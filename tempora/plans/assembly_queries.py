@@ -76,13 +76,14 @@ def bus_signals(spark, sf_dir):
     return both.select("event_id", "signal", F.round("t", 4).alias("t"), F.round("value", 6).alias("value"))
 
 
-@query(f"WITH {EV}, s AS (SELECT DISTINCT user_id FROM ev) SELECT user_id FROM s WHERE user_id NOT IN (SELECT user_id FROM ev WHERE event_type = 'signup')")
+@query(f"WITH {EV}, s AS (SELECT DISTINCT user_id, us // {DAY_US} AS day FROM ev), m AS (SELECT DISTINCT user_id, us // {DAY_US} AS day FROM ev WHERE event_type = 'signup') SELECT user_id, day FROM s ANTI JOIN m USING (user_id, day)")
 def unfitted_clocks(spark, sf_dir):
-    ev = events(spark, sf_dir)
-    return assembly.without_model(ev.select("user_id").distinct(), _of(ev, "signup"), U)
+    """Users' days without a signup, which stands for a fitted clock."""
+    ev = events(spark, sf_dir).select("user_id", "event_type", F.expr(f"us div {DAY_US}").alias("day"))
+    return assembly.without_model(ev.select("user_id", "day").distinct(), _of(ev, "signup"), ["user_id", "day"])
 
 
-@query("SELECT n_regionkey, n_nationkey AS camera, length(n_name) AS params, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 10 END AS to_imu FROM nation")
+@query("SELECT n_regionkey, n_nationkey AS camera, CAST(length(n_name) AS INTEGER) AS params, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 10 END AS to_imu FROM nation")
 def merged_chains(spark, sf_dir):
     rows = read(spark, sf_dir, "nation").select("n_regionkey", F.col("n_nationkey").alias("camera"), F.length("n_name").alias("params"))
     other = rows.where("camera % 2 = 0").select("n_regionkey", "camera", (F.col("camera") * 10).alias("to_imu"))
