@@ -19,6 +19,8 @@ from tempora.llm.wordcache import WordCache
 
 #: Documents of a file, the most files, and characters of texts that are encoded at once.
 DOCS_PER_FILE, MAX_FILES, BLOCK_CHARS = 4096, 50_000, 1 << 21
+#: Ids that are decoded at once.
+UNPACK_IDS = 1 << 18
 
 
 def normalise(text: str) -> str:
@@ -140,6 +142,24 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
+def unpack_rows(control: pa.BinaryArray, data: pa.BinaryArray, counts: np.ndarray, of_rank: np.ndarray) -> pa.BinaryArray:
+    """The ids of several documents as little-endian unsigned 32-bit, ``counts`` each, by table lookup over all of them at once."""
+    places = -(-counts // 4) * 4  # a document's control bytes stand for four ranks each, the last ones for nothing
+    size = SIZES[np.frombuffer(b"".join(control.to_pylist()), np.uint8)].ravel()
+    begin = np.cumsum(places) - places
+    ends = np.cumsum(counts)
+    if len(size) != ends[-1]:
+        size = size[np.arange(ends[-1]) + np.repeat(begin - (ends - counts), counts)]
+    first = np.cumsum(size) - size
+    got = np.frombuffer(b"".join(data.to_pylist()) + b"\0\0\0", np.uint8)
+    ranks = got[first].astype(np.uint32)
+    for more in range(1, int(size.max(initial=1))):
+        has = np.flatnonzero(size > more)
+        ranks[has] |= got[first[has] + more].astype(np.uint32) << np.uint32(8 * more)
+    offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(of_rank[ranks])])
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", docs_per_file: int = DOCS_PER_FILE) -> str:
     """Encode every whole text, add ``end_id``, and write the ids in ascending order of doc_id; returns the folder.
 
@@ -177,9 +197,15 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in (2, 3, 4)]
-            ids = [by_rank.value[unpack_ranks(c, d, n)].tobytes() for n, c, d in zip(*columns)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ids, pa.binary())], ["file_no", "doc_id", "n", "ids"])
+            counts, at = batch.column(2).to_numpy(), 0
+            ends = np.cumsum(counts)
+            while at < batch.num_rows:
+                # Documents of up to UNPACK_IDS ids together, or one that is longer.
+                last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + UNPACK_IDS, side="right")))
+                rows = batch.slice(at, last - at)
+                ids = unpack_rows(rows.column(3), rows.column(4), counts[at:last], by_rank.value)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:3], ids], ["file_no", "doc_id", "n", "ids"])
+                at = last
 
     blocks = spark.read.schema("file_no int, doc_id long, n long, control binary, data binary").parquet(f"{path}/blocks")
     return blocks.mapInArrow(run, "file_no int, doc_id long, n long, ids binary")
