@@ -19,7 +19,7 @@ from tempora.llm.wordcache import WordCache
 
 #: Documents of a file, the most files, and characters of texts that are encoded at once.
 DOCS_PER_FILE, MAX_FILES, BLOCK_CHARS = 4096, 50_000, 1 << 21
-#: Ids that are decoded at once.
+#: Ids that are packed or decoded at once.
 UNPACK_IDS = 1 << 18
 
 
@@ -142,6 +142,39 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
+def together(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of up to ``UNPACK_IDS`` ids together, or of one that is longer."""
+    ends, at = np.cumsum(counts), 0
+    while at < len(counts):
+        last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + UNPACK_IDS, side="right")))
+        yield at, last
+        at = last
+
+
+def _binary(offsets: np.ndarray, values: np.ndarray) -> pa.BinaryArray:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets), [None, pa.py_buffer(np.concatenate([[0], offsets]).astype(np.int32)), pa.py_buffer(values)])
+
+
+def pack_rows(ids: list[np.ndarray], rank: np.ndarray) -> tuple[pa.BinaryArray, pa.BinaryArray]:
+    """(control, data) of several documents, each as pack_ranks has it, from the rank of every id."""
+    counts = np.array([len(i) for i in ids], np.int64)
+    ranks = rank[np.concatenate(ids)]
+    size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    places, ends = -(-counts // 4) * 4, np.cumsum(counts)
+    codes = np.zeros(int(places.sum()), np.uint8)
+    codes[np.arange(ends[-1]) + np.repeat(np.cumsum(places) - places - (ends - counts), counts)] = size - 1
+    codes = codes.reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
+    total = np.cumsum(size, dtype=np.int64)
+    first = total - size
+    data = np.empty(int(total[-1]), np.uint8)
+    data[first] = ranks & 0xFF
+    for more in range(1, int(size.max(initial=1))):
+        has = np.flatnonzero(size > more)
+        data[first[has] + more] = ranks[has] >> np.uint32(8 * more) & 0xFF
+    return _binary(np.cumsum(places) // 4, control), _binary(total[ends - 1], data)
+
+
 def unpack_rows(control: pa.BinaryArray, data: pa.BinaryArray, counts: np.ndarray, of_rank: np.ndarray) -> pa.BinaryArray:
     """The ids of several documents as little-endian unsigned 32-bit, ``counts`` each, by table lookup over all of them at once."""
     places = -(-counts // 4) * 4  # a document's control bytes stand for four ranks each, the last ones for nothing
@@ -156,8 +189,7 @@ def unpack_rows(control: pa.BinaryArray, data: pa.BinaryArray, counts: np.ndarra
     for more in range(1, int(size.max(initial=1))):
         has = np.flatnonzero(size > more)
         ranks[has] |= got[first[has] + more].astype(np.uint32) << np.uint32(8 * more)
-    offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(of_rank[ranks])])
+    return _binary(ends * 4, of_rank[ranks])
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", docs_per_file: int = DOCS_PER_FILE) -> str:
@@ -184,8 +216,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [pack_ranks(shared.value[unpack_ids(blob, wide)]) for blob in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([c for c, _ in packed], pa.binary()), pa.array([d for _, d in packed], pa.binary())], ["file_no", "doc_id", "n", "control", "data"])
+            for at, last in together(batch.column(2).to_numpy()):
+                rows = batch.slice(at, last - at)
+                control, data = pack_rows([unpack_ids(blob, wide) for blob in rows.column(3).to_pylist()], shared.value)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:3], control, data], ["file_no", "doc_id", "n", "control", "data"])
 
     encoded.mapInArrow(run, "file_no int, doc_id long, n long, control binary, data binary").write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     return path
@@ -197,15 +231,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, at = batch.column(2).to_numpy(), 0
-            ends = np.cumsum(counts)
-            while at < batch.num_rows:
-                # Documents of up to UNPACK_IDS ids together, or one that is longer.
-                last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + UNPACK_IDS, side="right")))
+            counts = batch.column(2).to_numpy()
+            for at, last in together(counts):
                 rows = batch.slice(at, last - at)
                 ids = unpack_rows(rows.column(3), rows.column(4), counts[at:last], by_rank.value)
                 yield pa.RecordBatch.from_arrays([*rows.columns[:3], ids], ["file_no", "doc_id", "n", "ids"])
-                at = last
 
     blocks = spark.read.schema("file_no int, doc_id long, n long, control binary, data binary").parquet(f"{path}/blocks")
     return blocks.mapInArrow(run, "file_no int, doc_id long, n long, ids binary")

@@ -344,3 +344,20 @@ def test_language(spark):
     assert held and all(r.lang_pred == truth[r.doc_id] for r in held)
     assert {r.lang_pred for r in language.language_ids(frame(spark, [(1, "abc", None, None)])).collect()} == {"und"}
     assert language.language_ids(frame(spark, [])).count() == 0
+
+
+def test_token_rows_pack_as_one_by_one():
+    import numpy as np
+
+    from tempora.llm import token_files as tf
+
+    rng = np.random.default_rng(1)
+    for vocabulary in (60_000, 1 << 25):
+        rank = rng.permutation(vocabulary).astype(np.uint32)
+        by_rank, ids = np.argsort(rank).astype("<u4"), [rng.integers(0, vocabulary, n) for n in (1, 4, 3, 17, 8, 1, 1000, 5)]
+        control, data = tf.pack_rows(ids, rank)
+        assert [(c.as_py(), d.as_py()) for c, d in zip(control, data)] == [tf.pack_ranks(rank[x]) for x in ids]
+        back = tf.unpack_rows(control.slice(1, 5), data.slice(1, 5), np.array([len(x) for x in ids[1:6]]), by_rank)
+        assert [b.as_py() for b in back] == [x.astype("<u4").tobytes() for x in ids[1:6]]
+    assert list(tf.together(np.array([tf.UNPACK_IDS + 1, 3, 4]))) == [(0, 1), (1, 3)]
+    assert list(tf.together(np.array([], np.int64))) == []
