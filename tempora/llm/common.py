@@ -72,3 +72,12 @@ def fresh(names: list[str], *wanted: str) -> list[str]:
             w += "_"
         out.append(w)
     return out
+
+
+#: Tables of keys with up to so many rows (some 10 MB) are broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast a written table if its counted rows allow that; else Spark chooses the join, and splits hot keys."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
