@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm import decontaminate, embeddings, filter_audit, language, linededup, merkle, pieces, quality, sharding, simhash, token_counts, token_files
+from tempora.llm import decontaminate, embeddings, filter_audit, language, linededup, merkle, pieces, pii, quality, sharding, simhash, token_counts, token_files
 from tempora.llm.common import table
 
 
@@ -61,6 +61,16 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_ids(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pii_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.BASE), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.merkle_manifest(table(spark, sf_dir, "documents"))
     proof = F.sha2(F.array_join(F.transform("path", lambda s: s.sibling), ""), 256)
@@ -83,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_language": op10_language,
+    "op11_pii": op11_pii,
     "op12_merkle": op12_merkle,
     "op13_filter_audit": op13_filter_audit,
 }
