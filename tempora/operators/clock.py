@@ -1,7 +1,7 @@
 """Device clocks: pulse decoding, clock fit, and mapping of device times to the main clock.
 
 Edges are found in column operations on the full-rate signal; only a row or two a second reach the decoders, which are
-sequential by nature and run once per (sequence, sensor).
+sequential by nature and run bucket by bucket (``clock_chain``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.operators import clock_chain
 from tempora.operators.temporal import neighbours
 
 #: The pulse code (fixed values): seconds in a block, and how near to whole seconds a gap must lie.
@@ -71,11 +72,14 @@ def _half_even(x: float) -> float:
     return float(np.rint(x))
 
 
-def decode_split(place: np.ndarray, dev: np.ndarray, code: SplitCode) -> tuple[list[float], list[float]]:
-    """(device times, main times) of pulses from edges, by a walk over them with the time of the next second as state."""
-    gaps, found, now, anchored = np.diff(place), [], None, None
-    at = 0
-    while at < len(gaps):
+def walk_split(place: np.ndarray, dev: np.ndarray, own: int, state: tuple | None, code: SplitCode) -> tuple[list[float], list[float], tuple | None]:
+    """Device times, main times and the state behind them of pulses from edges; see ``clock_chain.decode_in_buckets``.
+
+    A walk over the first ``own`` edges with the time of the next second as state; ``skip`` edges belong to a second before.
+    """
+    gaps, devs, mains = np.diff(place), [], []
+    _, now, anchored, at = state or (None, None, None, 0)
+    while at < min(own, len(gaps)):
         gap = gaps[at]
         used, seconds = 1, 0.0
         if at + 1 < len(gaps) and gap < code.shortest and abs(gap + gaps[at + 1] - code.rate) < code.tolerance:
@@ -99,27 +103,42 @@ def decode_split(place: np.ndarray, dev: np.ndarray, code: SplitCode) -> tuple[l
             else:
                 used = 1
         if seconds and now is not None:
-            found.append((dev[at], now))
+            devs.append(float(dev[at]))
+            mains.append(float(now))
             now += seconds
         at += used
-    return [d for d, _ in found], [m for _, m in found]
+    skip = max(at - own, 0)
+    return devs, mains, None if now is None and not skip else (float(dev[min(at, len(dev) - 1)]), now, anchored, skip)
 
 
-def decode_width(on: np.ndarray, width_ms: np.ndarray) -> tuple[list[float], list[float]]:
-    """(device times, main times) of pulses whose width codes the second: over 15 ms an index in steps of 10 ms from 20."""
+def walk_width(on: np.ndarray, width_ms: np.ndarray, own: int, state: tuple | None) -> tuple[list[float], list[float], tuple | None]:
+    """Device times, main times and the state behind them of the first ``own`` pulses: a width over 15 ms codes the second,
+    an index in steps of 10 ms from 20. The state is the last pulse that was decoded."""
     devs, mains = [], []
-    for t, w in zip(on, width_ms):
-        since = t - devs[-1] if devs else 0.0
+    last, now, _, _ = state or (None, None, None, 0)
+    for t, w in zip(on[:own], width_ms[:own]):
+        since = t - last if last is not None else 0.0
         if w > 15.0:
-            block = _half_even((mains[-1] + since if mains and mains[-1] >= 0 else 0.0) / BLOCK_S)
+            block = _half_even((now + since if now is not None and now >= 0 else 0.0) / BLOCK_S)
             now = block * BLOCK_S + _half_even((w - 20.0) / 10.0) - 1.0
-        elif abs(w - 10.0) < 1.4 and mains and mains[-1] >= 0:
-            now = mains[-1] + max(1.0, _half_even(since))
+        elif abs(w - 10.0) < 1.4 and now is not None and now >= 0:
+            now = now + max(1.0, _half_even(since))
         else:
             continue
-        devs.append(t)
-        mains.append(now)
-    return devs, mains
+        last = float(t)
+        devs.append(last)
+        mains.append(float(now))
+    return devs, mains, None if last is None else (last, now, None, 0)
+
+
+def decode_split(place: np.ndarray, dev: np.ndarray, code: SplitCode) -> tuple[list[float], list[float]]:
+    """(device times, main times) of pulses from all edges of one clock."""
+    return walk_split(place, dev, len(place), None, code)[:2]
+
+
+def decode_width(on: np.ndarray, width_ms: np.ndarray) -> tuple[list[float], list[float]]:
+    """(device times, main times) of pulses from all pulses of one clock."""
+    return walk_width(on, width_ms, len(on), None)[:2]
 
 
 def fit_clock(dev: np.ndarray, main: np.ndarray, noise: Noise = Noise()) -> pd.DataFrame:
@@ -151,36 +170,28 @@ def fit_clock(dev: np.ndarray, main: np.ndarray, noise: Noise = Noise()) -> pd.D
     return pd.DataFrame({"pulse": np.arange(n), "dev": dev, "main": main, "b": smooth[:, 0], "a": smooth[:, 1], "dev0": dev[0] if n else 0.0, "rejected": rejected})
 
 
-MODEL = "pulse long, dev double, main double, b double, a double, dev0 double, rejected boolean"
-
-
-def _per_clock(edges: DataFrame, keys: list[str], columns: list[str], decode, noise: Noise) -> DataFrame:
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(columns[0])
-        dev, main = decode(*(frame[c].to_numpy() for c in columns))
-        model = fit_clock(np.array(dev), np.array(main), noise) if len(dev) else fit_clock(np.zeros(1), np.zeros(1))[:0]
-        for i, k in enumerate(keys):
-            model.insert(i, k, frame[k].iloc[0])
-        return model
-
-    schema = ", ".join([*(f"{k} {edges.schema[k].dataType.simpleString()}" for k in keys), MODEL])
-    return edges.groupBy(*keys).applyInPandas(run, schema)
+def clock_from_split(edges: DataFrame, keys: list[str], code: SplitCode = COUNTER_CODE, noise: Noise = NOISE["imu"], bucket_s: float = clock_chain.BUCKET_S) -> DataFrame:
+    """Clock model per key from edges (place, dev); no rows for a clock without a lock."""
 
+    def walk(arrays: list[np.ndarray], own: int, state: tuple | None) -> tuple:
+        return walk_split(*arrays, own, state, code)
 
-def clock_from_split(edges: DataFrame, keys: list[str], code: SplitCode = COUNTER_CODE, noise: Noise = NOISE["imu"]) -> DataFrame:
-    """Clock model per key from edges (place, dev); no rows for a clock without a lock."""
-    return _per_clock(edges, keys, ["place", "dev"], lambda p, d: decode_split(p, d, code), noise)
+    return clock_chain.fit_in_buckets(clock_chain.decode_in_buckets(edges, keys, ["place", "dev"], "dev", walk, before=False, bucket_s=bucket_s), keys, noise, bucket_s)
 
 
-def clock_from_width(pulses: DataFrame, keys: list[str], noise: Noise = NOISE["event"]) -> DataFrame:
+def clock_from_width(pulses: DataFrame, keys: list[str], noise: Noise = NOISE["event"], bucket_s: float = clock_chain.BUCKET_S) -> DataFrame:
     """Clock model per key from pulses (t_us, width_us); only widths between 8 and 90 ms count."""
     good = pulses.where("width_us > 8000 and width_us < 90000").select(*keys, (F.col("t_us") / 1e6).alias("on"), (F.col("width_us") / 1e3).alias("ms"))
-    return _per_clock(good, keys, ["on", "ms"], decode_width, noise)
+
+    def walk(arrays: list[np.ndarray], own: int, state: tuple | None) -> tuple:
+        return walk_width(*arrays, own, state)
+
+    return clock_chain.fit_in_buckets(clock_chain.decode_in_buckets(good, keys, ["on", "ms"], "on", walk, before=True, bucket_s=bucket_s), keys, noise, bucket_s)
 
 
-def clock_from_pairs(pulses: DataFrame, keys: list[str], noise: Noise = Noise()) -> DataFrame:
+def clock_from_pairs(pulses: DataFrame, keys: list[str], noise: Noise = Noise(), bucket_s: float = clock_chain.BUCKET_S) -> DataFrame:
     """Clock model per key from known pairs (dev, main)."""
-    return _per_clock(pulses, keys, ["dev", "main"], lambda d, m: (d, m), noise)
+    return clock_chain.fit_in_buckets(pulses, keys, noise, bucket_s)
 
 
 def map_to_main(rows: DataFrame, model: DataFrame, keys: list[str], t: str, out: str = "t", bucket: float | None = None) -> DataFrame:

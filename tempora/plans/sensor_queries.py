@@ -191,16 +191,6 @@ def clock_map_apply(spark, sf_dir):
     return clock.map_to_main(ev, model, ["user_id"], "t", "main", bucket=7 * 86400.0).select("event_id", F.round("main", 4).alias("main"))
 
 
-@query()
-def clock_fit_residual(spark, sf_dir):
-    """Clock model of every user from events with a jittered second clock: a sequential fit, tested against a plain loop."""
-    ev = events(spark, sf_dir)
-    pairs = ev.select("user_id", F.col("t").alias("dev"), (F.col("t") * 1.00001 + F.col("value") * 1e-6).alias("main"))
-    model = clock.clock_from_pairs(pairs, ["user_id"], clock.Noise(1e-10, 1e-13, 1e-3))
-    miss = F.col("main") - (F.col("a") * (F.col("dev") - F.col("dev0")) + F.col("b"))
-    return model.groupBy("user_id").agg(F.count("*").alias("pulses"), F.round(F.sqrt(F.avg(miss * miss)), 4).alias("rms"))
-
-
 WINS = f"s AS (SELECT user_id, min(t) AS a, max(t) AS b FROM ev GROUP BY user_id), w AS (SELECT user_id, unnest(range(CAST(floor((b - a) / 432000) AS BIGINT) + 1)) AS window_id, a FROM s), win AS (SELECT user_id, window_id, a + window_id * 432000.0 AS c FROM w)"
 
 

@@ -43,7 +43,7 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", ["clock_fit_residual", "position_glitches"])
+@pytest.mark.parametrize("name", ["position_glitches"])
 def test_without_sql(spark, name):
     assert plans.QUERIES[name](spark, FOLDER).count() > 0
 
