@@ -125,7 +125,13 @@ def search(vectors: DataFrame, docs: DataFrame, query_vector: list[float], query
 
     ``attributes`` has id, group and t, and whatever ``filters`` (an extension) needs; ids without a row there are dropped.
     """
-    fused = fuse(dense_topk(vectors, query_vector, k, "id", "embedding"), bm25_topk(docs, query_terms, k, "id", "text"), top=k)
+    lists = dense_topk(vectors, query_vector, k, "id", "embedding"), bm25_topk(docs, query_terms, k, "id", "text")
+    return moments(*lists, attributes, group, t, limit, k, weight, gap, spacing, window, filters)
+
+
+def moments(dense: DataFrame, lexical: DataFrame, attributes: DataFrame, group: str = "video_id", t: str = "timestamp", limit: int = 12, k: int = 100, weight: float = 0.3, gap: float = 10.0, spacing: float = 120.0, window: float = 5.0, filters: Column | None = None) -> DataFrame:
+    """What ``search`` makes of its two lists (id, rank)."""
+    fused = fuse(dense, lexical, top=k)
     rows = fused.join(attributes, "id")
     if filters is not None:
         rows = rows.where(filters)

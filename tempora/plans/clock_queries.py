@@ -96,8 +96,8 @@ FROM b AS s JOIN l ON l.user_id = s.user_id AND l.k = s.k - 1)"""
 
 @query(f"WITH RECURSIVE {_FIT} SELECT user_id, count(*) AS pulses, round(sqrt(avg((y - s0 - s1 * x) ** 2)), 4) AS rms FROM b JOIN l USING (user_id, k) GROUP BY user_id")
 def clock_fit_residual(spark, sf_dir):
-    """Clock model of every user from events with a jittered second clock, fitted in buckets of five days."""
+    """Clock model of every user from events with a jittered second clock, fitted in buckets of fifteen days."""
     pairs = events(spark, sf_dir).select("user_id", F.col("t").alias("dev"), (F.col("t") * 1.00001 + F.col("value") * 1e-4).alias("main"))
-    model = clock.clock_from_pairs(pairs, ["user_id"], clock.Noise(1e-10, 1e-13, 1e-3), 5 * 86400.0)
+    model = clock.clock_from_pairs(pairs, ["user_id"], clock.Noise(1e-10, 1e-13, 1e-3), 15 * 86400.0)
     miss = F.col("main") - (F.col("a") * (F.col("dev") - F.col("dev0")) + F.col("b"))
     return model.groupBy("user_id").agg(F.count("*").alias("pulses"), F.round(F.sqrt(F.avg(miss * miss)), 4).alias("rms"))

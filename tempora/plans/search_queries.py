@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Window
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tempora.functions import scalar as sc
 from tempora.operators import retrieval as rt
+from tempora.operators import search_index
 from tempora.plans.registry import query, read
+from tempora.scratch import shared_dir
 
 #: A fixed query vector and its SQL form; the terms are common words of the documents, one of them twice.
 WAVE = [math.sin(0.7 * i) for i in range(64)]
@@ -45,8 +48,25 @@ def _dense(spark, sf_dir):
     return rt.dense_topk(read(spark, sf_dir, "embeddings"), VECTOR, 100)
 
 
+def _index(spark, sf_dir):
+    """The index of a folder's documents and vectors, in the application's shared folder: built by the first query that asks."""
+    path = f"{shared_dir(spark, lasting=True)}/index-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    found = search_index.open_index(spark, path)
+    if found is None:
+        docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", (F.col("doc_id") % 20).alias("video_id"), (F.floor(F.col("doc_id") / 20) * 5.0).alias("timestamp"))
+        search_index.build(path, docs, read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"))
+        found = search_index.open_index(spark, path)
+    return found
+
+
+@query(f"""WITH {LEXICAL}, b AS (SELECT term, df, raw FROM df JOIN idf USING (term)) SELECT term, CAST(df AS BIGINT) AS df, round(raw, 6) AS raw FROM b""")
+def lexical_index(spark, sf_dir):
+    """The terms of the index on disk."""
+    return _index(spark, sf_dir).table("terms").select("term", "df", F.round("raw", 6).alias("raw"))
+
+
 def _lexical(spark, sf_dir):
-    return rt.bm25_topk(read(spark, sf_dir, "documents"), TERMS, 100)
+    return _index(spark, sf_dir).bm25_topk(TERMS, 100)
 
 
 @query(f"WITH {DENSE} SELECT id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM dense")
@@ -115,13 +135,23 @@ def spaced_selection(spark, sf_dir):
 i AS (SELECT *, sum(new) OVER (PARTITION BY video_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM g)
 SELECT video_id, min(t) AS start, max(t) + 5.0::DOUBLE AS "end", round(max(score), 9) AS score, count(*) AS n, arg_min(id, t) AS id FROM i GROUP BY video_id, island ORDER BY max(score) DESC, video_id, start LIMIT 12""")
 def hybrid_search_e2e(spark, sf_dir):
-    vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    attributes = docs.select("id", (F.col("id") % 20).alias("video_id"), (F.floor(F.col("id") / 20) * 5.0).alias("timestamp"))
-    found = rt.search(vectors, docs, VECTOR, TERMS, attributes)
+    index = _index(spark, sf_dir)
+    found = rt.moments(_dense(spark, sf_dir), index.bm25_topk(TERMS), index.table("documents").select("id", "video_id", "timestamp"))
     return found.select("video_id", "start", "end", F.round("score", 9).alias("score"), "n", "id")
 
 
+@query(f"""WITH {SPACED}, g AS (SELECT *, CASE WHEN t - (lag(t) OVER w + 5.0) <= 10.0 THEN 0 ELSE 1 END AS new FROM kept WINDOW w AS (PARTITION BY video_id ORDER BY t)),
+i AS (SELECT *, sum(new) OVER (PARTITION BY video_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM g), m AS (SELECT video_id, arg_min(id, t) AS id, CAST(min(t) * 10 AS BIGINT) AS start_frame, CAST((max(t) + 5.0) * 10 AS BIGINT) AS end_frame FROM i GROUP BY video_id, island ORDER BY max(score) DESC, video_id, min(t) LIMIT 12)
+SELECT id, start_frame, end_frame, coalesce(left(text, 240), '') AS caption, '/clips/' || video_id || '.mp4' AS path FROM m LEFT JOIN documents ON doc_id = id""")
+def search_results(spark, sf_dir):
+    """The moments of a search as a user gets them: frames at 10 a second, captions from the index, and the clip's path."""
+    index = _index(spark, sf_dir)
+    found = rt.moments(_dense(spark, sf_dir), index.bm25_topk(TERMS), index.table("documents").select("id", "video_id", "timestamp"))
+    frames = (F.col(c).alias(f"{c}_frame") for c in ("start", "end"))
+    rows = index.captions(found.select("id", "video_id", *frames))
+    return rows.select("id", *((F.col(c) * 10).cast("long").alias(c) for c in ("start_frame", "end_frame")), "caption", F.concat(F.lit("/clips/"), F.col("video_id").cast("string"), F.lit(".mp4")).alias("path"))
+
+
 @query(f"SELECT vec_id, round(sqrt({_dot('embedding', 'embedding')}), 6) AS norm FROM embeddings")
 def vector_norms(spark, sf_dir):
     return read(spark, sf_dir, "embeddings").select("vec_id", F.round(F.sqrt(sc.dot(F.col("embedding"), F.col("embedding"))), 6).alias("norm"))

@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir``, which all executors share.
+def shared_dir(spark: SparkSession, lasting: bool = False) -> str:
+    """A new path below ``spark.checkpoint.dir``, which all executors share; ``lasting``: the same one for an application.
 
     Where that is not set, one machine (``local[...]``) uses its temporary folder; a cluster has to name a folder.
     """
@@ -18,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir() + "/tempora-shared"
-    return f"{base.rstrip('/')}/tempora-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tempora-{spark.sparkContext.applicationId if lasting else uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
