@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -142,6 +144,14 @@ def so3_log(r: np.ndarray) -> np.ndarray:
     return (q[:, 1:] * scale[:, None]).reshape(*r.shape[:-2], 3)
 
 
+def so3_log_slope(w: np.ndarray) -> np.ndarray:
+    """How the rotation vectors w (..., 3) change as their rotations are turned further: the inverse of the right Jacobian."""
+    angle = np.linalg.norm(w, axis=-1)[..., None, None]
+    k, small = _hat(w), angle < 1e-4
+    safe = np.where(small, 1.0, angle)
+    return np.eye(3) + k / 2 + np.where(small, 1 / 12, 1 / safe**2 - (1 + np.cos(safe)) / (2 * safe * np.sin(safe))) * (k @ k)
+
+
 def solve_chain(diag: np.ndarray, lower: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Solution of a symmetric block-tridiagonal system: diag (n, d, d), lower (n-1, d, d) below the diagonal, right (n, d)."""
     n = len(diag)
@@ -157,86 +167,64 @@ def solve_chain(diag: np.ndarray, lower: np.ndarray, right: np.ndarray) -> np.nd
     return x
 
 
-def fuse_poses(t: np.ndarray, rot: np.ndarray, pos: np.ndarray, fix: np.ndarray, sigma: np.ndarray, lever: np.ndarray | None = None, loose: np.ndarray | None = None, sigma_t: float = 0.2, sigma_r: float = np.radians(0.5), huber: float = 10.0, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:
-    """Rotations and positions that agree with odometry between neighbours and with fixes of the antenna's position.
+@dataclass(frozen=True)
+class Weights:
+    """Standard deviations of the chain: odometry over 0.1 s (metres, radians), its factor where it isn't trusted, turn rates
+    (radians over a second's root, and at least), the weak hold on the first pose, and the size from which fixes count less."""
+
+    step_m: float = 0.2
+    step_rad: float = float(np.radians(0.5))
+    loose: float = 1e4
+    gyro: float = 6.1e-5
+    gyro_least: float = 1e-4
+    gyro_m: float = 100.0
+    first: tuple[float, float] = (1.0, 10.0)
+    huber: float = 10.0
+
 
-    rot (n, 3, 3) and pos (n, 3) are the odometry, in the fixes' frame; fix and sigma (n, 3) hold NaN where there is no
-    fix. The variables form a chain with unary terms, so each Gauss-Newton step is one block-tridiagonal solve.
+def normal_equations(nodes: dict[str, np.ndarray], weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Diagonal and lower blocks and right side of a Gauss-Newton step on consecutive poses r (n, 3, 3), p (n, 3).
+
+    nodes: t, r, p, the odometry rot and pos, loose, fix and sigma (NaN without a fix), and turn, the gyro's rotation to the
+    next pose (NaN without one). Steps move a pose by its own rotation vector and a shift of the position.
     """
-    lever = np.zeros(3) if lever is None else np.asarray(lever, float)
+    t, r, p, rot, pos, loose, fix, sigma, turned = (nodes[k] for k in ("t", "r", "p", "rot", "pos", "loose", "fix", "sigma", "turn"))
     n = len(t)
-    gap = np.sqrt(np.maximum(np.diff(t), 1e-3) / 0.1) * (1 if loose is None else np.where(loose[1:] | loose[:-1], 1e4, 1.0))
-    step_r, step_p = np.swapaxes(rot[:-1], 1, 2) @ rot[1:], np.einsum("nji,nj->ni", rot[:-1], pos[1:] - pos[:-1])
-    r, p = rot.copy(), pos.copy()
-    known = np.isfinite(fix).all(1)
-    for _ in range(rounds):
-        diag, lower, right = np.zeros((n, 6, 6)), np.zeros((max(0, n - 1), 6, 6)), np.zeros((n, 6))
-        diag[0] += np.diag([1e6] * 3 + [1e-2] * 3) if known.any() else np.eye(6) * 1e6
-        if n > 1:
-            turn = np.swapaxes(r[:-1], 1, 2)
-            ahead = np.einsum("nij,nj->ni", turn, p[1:] - p[:-1])
-            err = np.concatenate([so3_log(np.swapaxes(step_r, 1, 2) @ turn @ r[1:]), ahead - step_p], 1)
-            weight = np.concatenate([np.repeat(1 / (sigma_r * gap[:, None]) ** 2, 3, 1), np.repeat(1 / (sigma_t * gap[:, None]) ** 2, 3, 1)], 1)
-            a, b = np.zeros((n - 1, 6, 6)), np.zeros((n - 1, 6, 6))
-            a[:, :3, :3], b[:, :3, :3] = -np.swapaxes(r[1:], 1, 2) @ r[:-1], np.eye(3)
-            a[:, 3:, :3], a[:, 3:, 3:], b[:, 3:, 3:] = _hat(ahead), -turn, turn
-            aw, bw = np.swapaxes(a * weight[:, :, None], 1, 2), np.swapaxes(b * weight[:, :, None], 1, 2)
-            diag[:-1] += aw @ a
-            diag[1:] += bw @ b
-            lower += bw @ a
+    diag, lower, right = np.zeros((n, 6, 6)), np.zeros((max(0, n - 1), 6, 6)), np.zeros((n, 6))
+    if n > 1:
+        gap = np.maximum(np.diff(t), 1e-3)
+        scale = np.sqrt(gap / 0.1) * np.where(loose[1:] | loose[:-1], weights.loose, 1.0)
+        back = np.swapaxes(r[:-1], 1, 2)
+        ahead, own = np.einsum("nij,nj->ni", back, p[1:] - p[:-1]), back @ r[1:]
+        a, b = np.zeros((n - 1, 6, 6)), np.zeros((n - 1, 6, 6))
+        a[:, :3, :3], b[:, :3, :3] = -np.swapaxes(r[1:], 1, 2) @ r[:-1], np.eye(3)
+        a[:, 3:, :3], a[:, 3:, 3:], b[:, 3:, 3:] = _hat(ahead), -back, back
+        before = np.swapaxes(rot[:-1], 1, 2)
+        step_r, step_p = before @ rot[1:], np.einsum("nij,nj->ni", before, pos[1:] - pos[:-1])
+        terms = [(step_r, step_p, weights.step_rad * scale, weights.step_m * scale, np.ones(n - 1, bool))]
+        has = np.isfinite(turned[:-1]).all((1, 2))
+        if has.any():
+            some = np.where(has[:, None, None], turned[:-1], np.eye(3))
+            terms.append((some, np.zeros((n - 1, 3)), np.maximum(weights.gyro * np.sqrt(gap), weights.gyro_least), np.full(n - 1, weights.gyro_m), has))
+        for want_r, want_p, sr, sp, used in terms:
+            err = np.concatenate([so3_log(np.swapaxes(want_r, 1, 2) @ own), ahead - want_p], 1)
+            w = np.concatenate([np.repeat(used[:, None] / sr[:, None] ** 2, 3, 1), np.repeat(used[:, None] / sp[:, None] ** 2, 3, 1)], 1)
+            slope = so3_log_slope(err[:, :3])
+            one, two = a.copy(), b.copy()
+            one[:, :3, :3], two[:, :3, :3] = slope @ a[:, :3, :3], slope
+            aw, bw = np.swapaxes(one * w[:, :, None], 1, 2), np.swapaxes(two * w[:, :, None], 1, 2)
+            diag[:-1] += aw @ one
+            diag[1:] += bw @ two
+            lower += bw @ one
             right[:-1] -= np.einsum("nij,nj->ni", aw, err)
             right[1:] -= np.einsum("nij,nj->ni", bw, err)
-        if known.any():
-            k = np.flatnonzero(known)
-            miss = p[k] + r[k] @ lever - fix[k]
-            size = np.linalg.norm(miss / sigma[k], axis=1)
-            w = np.minimum(1.0, huber / np.maximum(size, 1e-12))[:, None] / sigma[k] ** 2
-            j = np.zeros((len(k), 3, 6))
-            j[:, :, :3], j[:, :, 3:] = -r[k] @ _hat(np.broadcast_to(lever, (len(k), 3))), np.eye(3)
-            jw = np.swapaxes(j * w[:, :, None], 1, 2)
-            diag[k] += jw @ j
-            right[k] -= np.einsum("nij,nj->ni", jw, miss)
-        move = solve_chain(diag, lower, right)
-        r, p = r @ so3_exp(move[:, :3]), p + move[:, 3:]
-        if np.abs(move).max() < 1e-9:
-            break
-    return r, p
-
-
-def fuse_trajectories(rows: DataFrame, keys: list[str], lever: tuple[float, float, float] = (0.0, 0.0, 0.0), fewest_fixes: int = FEWEST, fewest_overlaps: int = 10) -> DataFrame:
-    """keys, t, pose (16), residual_m, skip_reason: fused trajectory per sequence.
-
-    rows: keys, t, pose (odometry, array of 16), loose (odometry not to be trusted), fix_x, fix_y, fix_z, sigma_e,
-    sigma_n, sigma_u, null where a keyframe has no fix. The odometry is first laid on the fixes, then fused twice: with
-    all fixes, and without those whose residual is beyond 5 sigma. A sequence that can't be fused gives one row with a reason.
-    """
-    schema = ", ".join([*(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys), "t double, pose array<double>, residual_m double, skip_reason string"])
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("t")
-        head = [frame[k].iloc[0] for k in keys]
-        fix = frame[["fix_x", "fix_y", "fix_z"]].to_numpy(float)
-        known = np.isfinite(fix).all(1)
-        reason = "few fixes" if known.sum() < fewest_fixes else "few overlaps" if len(frame) < fewest_overlaps else None
-        if reason:
-            return pd.DataFrame([[*head, None, None, None, reason]], columns=[*keys, "t", "pose", "residual_m", "skip_reason"])
-        t, m = frame["t"].to_numpy(float), np.stack(frame["pose"].to_list()).reshape(-1, 4, 4)
-        rot, pos, sigma = m[:, :3, :3], m[:, :3, 3], frame[["sigma_e", "sigma_n", "sigma_u"]].to_numpy(float)
-        a, b = pos[known] - pos[known].mean(0), fix[known] - fix[known].mean(0)
-        u, _, vt = np.linalg.svd(a.T @ b)
-        turn = vt.T @ np.diag([1, 1, np.sign(np.linalg.det(vt.T @ u.T))]) @ u.T
-        rot, pos = turn @ rot, (pos - pos[known].mean(0)) @ turn.T + fix[known].mean(0)
-        loose = frame["loose"].fillna(False).to_numpy(bool)
-        arm = np.array(lever)
-        for _ in range(2):
-            r, p = fuse_poses(t, rot, pos, fix, sigma, arm, loose)
-            miss = np.linalg.norm(p + r @ arm - fix, axis=1)
-            fix = np.where((miss > np.maximum(5 * sigma.max(1), 0.2))[:, None], np.nan, fix)
-        out = np.zeros((len(t), 4, 4))
-        out[:, :3, :3], out[:, :3, 3], out[:, 3, 3] = r, p, 1
-        return pd.DataFrame({**dict(zip(keys, head)), "t": t, "pose": list(out.reshape(-1, 16)), "residual_m": miss, "skip_reason": None})
-
-    return rows.groupBy(*keys).applyInPandas(run, schema)
+    k = np.flatnonzero(np.isfinite(fix).all(1))
+    miss = p[k] - fix[k]
+    size = np.linalg.norm(miss / sigma[k], axis=1)
+    w = np.minimum(1.0, weights.huber / np.maximum(size, 1e-12))[:, None] / sigma[k] ** 2
+    diag[k, 3:, 3:] += w[:, :, None] * np.eye(3)
+    right[k, 3:] -= w * miss
+    return diag, lower, right
 
 
 def ransac_rigid(pairs: DataFrame, keys: list[str], threshold: float = 0.05, tries: int = 500, seed: int = 0) -> DataFrame:
@@ -273,30 +261,38 @@ def ransac_rigid(pairs: DataFrame, keys: list[str], threshold: float = 0.05, tri
 
 
 def local_deviation(rows: DataFrame, keys: list[str], t: str, axes: list[str], window: int = 5, least: int = 5) -> DataFrame:
-    """Rows with ``deviation``: distance from a parabola through up to ``window`` rows on either side, the row itself left out.
+    """Rows with ``deviation``: distance from the least-squares parabola through up to ``window`` rows on either side, the row
+    itself left out.
 
-    Null with fewer than ``least`` neighbours. Neighbours travel as an array of at most 2 * window rows.
+    Null with fewer than ``least`` neighbours, or where they have fewer than three times. The parabola at the row's own time
+    is a ratio of determinants of sums over its neighbours, so all of it is column arithmetic.
     """
     w = Window.partitionBy(*keys).orderBy(t)
-    near = [F.collect_list(F.struct(t, *axes)).over(w.rowsBetween(a, b)) for a, b in ((-window, -1), (1, window))]
-    packed = rows.withColumn("_near", F.concat(*near))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "deviation double"])
-
-    def run(frames):
-        for frame in frames:
-            out = []
-            for own_t, near, *own in zip(frame[t], frame["_near"], *(frame[c] for c in axes)):
-                if len(near) < least:
-                    out.append(None)
-                    continue
-                x = np.array([n[t] for n in near], float) - own_t
-                y = np.array([[n[c] for c in axes] for n in near], float)
-                scale = np.abs(x).max() or 1.0
-                fit = np.linalg.lstsq(np.vander(x / scale, 3), y, rcond=None)[0]
-                out.append(float(np.linalg.norm(fit[2] - np.array(own, float))))
-            yield frame.drop(columns="_near").assign(deviation=pd.array(out, dtype="Float64"))
-
-    return packed.mapInPandas(run, schema)
+    places = [k for k in range(-window, window + 1) if k]
+    near = F.array(*(F.lag(F.struct((F.col(t).cast("double")).alias("t"), *(F.col(c).cast("double").alias(c) for c in axes)), -k).over(w) for k in places))
+    packed = rows.withColumn("_near", F.filter(near, lambda n: n.isNotNull()))
+    packed = packed.withColumn("_x", F.transform("_near", lambda n: n.t - F.col(t))).withColumn("_w", F.array_max(F.transform("_x", lambda x: F.abs(x))))
+    packed = packed.withColumn("_x", F.when((F.size("_near") >= least) & (F.col("_w") > 0), F.transform("_x", lambda x: x / F.col("_w"))))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+    def power(x: Column, k: int) -> Column:
+        return F.lit(1.0) if k == 0 else x * power(x, k - 1) if k > 1 else x
+
+    def moment(k: int) -> Column:
+        return total(F.transform("_x", lambda x: power(x, k)))
+
+    def weighed(k: int, axis: str) -> Column:
+        return total(F.zip_with("_x", "_near", lambda x, n: power(x, k) * n[axis]))
+
+    packed = packed.select("*", *(moment(k).alias(f"_s{k}") for k in range(5)), *(weighed(k, c).alias(f"_t{k}{c}") for k in range(3) for c in axes))
+    s = [F.col(f"_s{k}") for k in range(5)]
+    minor = [s[2] * s[4] - s[3] * s[3], s[1] * s[4] - s[2] * s[3], s[1] * s[3] - s[2] * s[2]]
+    whole = s[0] * minor[0] - s[1] * minor[1] + s[2] * minor[2]
+    off = [(F.col(f"_t0{c}") * minor[0] - F.col(f"_t1{c}") * minor[1] + F.col(f"_t2{c}") * minor[2]) / whole - F.col(c) for c in axes]
+    found = F.when(F.abs(whole) > 1e-12, F.sqrt(sum((o * o for o in off[1:]), off[0] * off[0])))
+    return packed.withColumn("deviation", found).select(*rows.columns, "deviation")
 
 
 def glitches(rows: DataFrame, keys: list[str], t: str, axes: list[str], window: int = 5, least: int = 5, k: float = 8.0, floor: float = 0.3) -> DataFrame:

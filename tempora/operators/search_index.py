@@ -32,6 +32,15 @@ def _folder(term: str | None = None, folders: int = FOLDERS):
     return F.pmod(F.xxhash64(F.col("term") if term is None else F.lit(term)), F.lit(folders)).cast("int")
 
 
+def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of an index; those that may be empty folders have fixed columns besides the documents' id."""
+    if name not in ("postings", "terms"):
+        return spark.read.parquet(f"{path}/{name}")
+    kind = spark.read.parquet(f"{path}/documents").schema["id"].dataType.simpleString()
+    columns = f"id {kind}, dl int, term string, tf long, folder int" if name == "postings" else "term string, df long, raw double, folder int"
+    return spark.read.schema(columns).parquet(f"{path}/{name}")
+
+
 def build(path: str, docs: DataFrame, vectors: DataFrame | None = None, id_col: str = "id", text_col: str = "text", vector_id: str = "id", vector_col: str = "embedding", folders: int = FOLDERS) -> None:
     """Write the index of ``docs`` (and of ``vectors``) below ``path``; an older one is replaced.
 
@@ -48,13 +57,13 @@ def build(path: str, docs: DataFrame, vectors: DataFrame | None = None, id_col:
     spread.write.mode("overwrite").partitionBy("folder").parquet(f"{path}/postings")
     spark = docs.sparkSession
     total = spark.read.parquet(f"{path}/documents").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
-    df = spark.read.parquet(f"{path}/postings").groupBy("folder", "term").agg(F.count("*").alias("df"))
+    df = _read(spark, path, "postings").groupBy("folder", "term").agg(F.count("*").alias("df"))
     raw = F.log(F.lit(total.n) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     df.withColumn("raw", raw).repartition("folder").sortWithinPartitions("folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/terms")
     if vectors is not None:
         vectors.withColumn(vector_col, normalised(F.col(vector_col))).withColumnRenamed(vector_id, "id").withColumnRenamed(vector_col, "embedding").write.mode("overwrite").parquet(f"{path}/vectors")
-    mean = spark.read.parquet(f"{path}/terms").agg(F.avg("raw").alias("mean"))
-    stats = mean.select(F.lit(total.n).cast("long").alias("n"), F.lit(total.avgdl).cast("double").alias("avgdl"), "mean", F.lit(folders).alias("folders"))
+    mean = _read(spark, path, "terms").agg(F.avg("raw").alias("mean"))
+    stats = mean.select(F.lit(total.n).cast("long").alias("n"), F.lit(total.avgdl or 1.0).cast("double").alias("avgdl"), "mean", F.lit(folders).alias("folders"))
     stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
 
 
@@ -70,7 +79,7 @@ class SearchIndex:
     folders: int
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        return _read(self.spark, self.path, name)
 
     def asked(self, name: str, query: list[str]) -> DataFrame:
         """The rows of ``postings`` or ``terms`` for the query's terms, read from their folders alone."""
@@ -111,4 +120,4 @@ def open_index(spark: SparkSession, path: str) -> SearchIndex | None:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    return SearchIndex(spark, path, row.n, row.avgdl or 1.0, row["mean"] or 0.0, row.folders)
+    return SearchIndex(spark, path, row.n, row.avgdl, row["mean"] or 0.0, row.folders)

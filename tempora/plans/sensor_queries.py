@@ -313,14 +313,6 @@ def sequence_statistics(spark, sf_dir):
     return found.select("user_id", *(F.round(c, 6).alias(c) for c in ("duration_s", "mean_speed_mph", "idle_fraction")))
 
 
-@query()
-def position_glitches(spark, sf_dir):
-    """Users' glitches against local parabolas, which SQL can't fit; tested against a plain loop."""
-    rows = events(spark, sf_dir).select("event_id", "user_id", (F.col("us") / HOUR_US).alias("h"), "value")
-    found = fusion.glitches(rows, ["user_id"], "h", ["value"], k=8.0)
-    return found.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if("glitch").alias("glitches"))
-
-
 @query(f"""WITH {EV}, p AS (SELECT user_id, us, lead(us, 2) OVER (PARTITION BY user_id ORDER BY us) AS later FROM ev) SELECT user_id, us, later FROM p""")
 def pose_pairs(spark, sf_dir):
     return geometry.pose_pairs(events(spark, sf_dir).select("user_id", "us", F.col("us").alias("pose")), ["user_id"], "us", "pose", 2).select("user_id", "us", "later")

@@ -148,24 +148,6 @@ def test_chain_solver():
     assert np.allclose(fusion.solve_chain(diag, lower, right).ravel(), np.linalg.solve(full, right.ravel()))
 
 
-def test_fusion(spark):
-    t, rot, pos, rng = trajectory()
-    shift, turn = np.array([100.0, 50.0, 5.0]), fusion.so3_exp(np.array([[0.0, 0.0, 1.0]]))[0]
-    drift = pos + np.cumsum(rng.normal(0, 0.02, pos.shape), 0)
-    odometry = np.zeros((len(t), 4, 4))
-    odometry[:, :3, :3], odometry[:, :3, 3], odometry[:, 3, 3] = turn.T @ rot, (drift - shift) @ turn, 1
-    rows = []
-    for i in range(len(t)):
-        fix = (pos[i] + rng.normal(0, 0.02, 3) + (5.0 if i == 30 else 0)).tolist() if i % 2 == 0 else [None] * 3
-        rows.append(("s", float(t[i]), odometry[i].ravel().tolist(), False, *fix, 0.02, 0.02, 0.04))
-    schema = "k string, t double, pose array<double>, loose boolean, fix_x double, fix_y double, fix_z double, sigma_e double, sigma_n double, sigma_u double"
-    found = fusion.fuse_trajectories(spark.createDataFrame(rows, schema), ["k"]).orderBy("t").collect()
-    got = np.array([np.array(r.pose).reshape(4, 4)[:3, 3] for r in found])
-    assert len(found) == len(t) and np.abs(got - pos).max() < 0.2
-    few = fusion.fuse_trajectories(spark.createDataFrame(rows[:10], schema), ["k"]).collect()
-    assert [r.skip_reason for r in few] == ["few fixes"]
-
-
 def test_rigid_fits(spark):
     rng = np.random.default_rng(4)
     turn = fusion.so3_exp(np.array([[0.2, -0.4, 0.7]]))[0]
