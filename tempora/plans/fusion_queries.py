@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tempora.operators import fusion, fusion_chain
-from tempora.plans.registry import EV, HOUR_US, events, query
+from tempora.operators import consensus, fusion, fusion_chain
+from tempora.plans.registry import EV, HOUR_US, events, query, read
 from tempora.plans.time_queries import GRAD
 
 U = ["user_id"]
@@ -72,3 +72,19 @@ def fused_tracks(spark, sf_dir):
     off = F.hypot(F.col("pose")[3] - F.col("x"), F.col("pose")[7] - F.col("y"))
     both = fused.join(rows.select("event_type", "t", "x", "y"), ["event_type", "t"])
     return both.groupBy("event_type").agg(F.count("*").alias("n"), F.max(F.rint(F.col("t") * 10)).cast("long").alias("rows"), F.round(F.max(off), 3).alias("off_m"))
+
+
+#: Points of 20 scans: three in five lie on a plane, the others above it by up to some metres.
+PLANE = "pl AS (SELECT l_orderkey % 20 AS scan, l_quantity / 10 AS x, l_extendedprice / 20000 AS y, (l_orderkey * 7 + l_linenumber) % 5 AS g, l_discount * 40 + 0.5 AS off FROM lineitem), pt AS (SELECT scan, x, y, 0.2 * x - 0.1 * y + 1 + CASE WHEN g >= 3 THEN off ELSE 0 END AS z FROM pl)"
+
+
+@query(f"""WITH {PLANE} SELECT scan, round(-0.2 / sqrt(1.05), 4) AS nx, round(0.1 / sqrt(1.05), 4) AS ny, round(1 / sqrt(1.05), 4) AS nz, round(1 / sqrt(1.05), 4) AS d, count(*) FILTER (abs(-0.2 * x + 0.1 * y + z - 1) / sqrt(1.05) <= 0.025) AS inliers FROM pt GROUP BY scan""")
+def scan_planes(spark, sf_dir):
+    """The plane that most points of a scan lie on, by consensus of all of them."""
+    rows = read(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % 20).alias("scan"), (F.col("l_quantity") / 10).alias("x"), (F.col("l_extendedprice") / 20000).alias("y"),
+        ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 5).alias("g"), (F.col("l_discount") * 40 + 0.5).alias("off"),
+    )
+    points = rows.select("scan", "x", "y", (0.2 * F.col("x") - 0.1 * F.col("y") + 1 + F.when(F.col("g") >= 3, F.col("off")).otherwise(0)).alias("z"))
+    found = consensus.plane_by_consensus(points, ["scan"], tries=60)
+    return found.select("scan", *(F.round(c, 4).alias(c) for c in ("nx", "ny", "nz", "d")), "inliers")
