@@ -97,6 +97,13 @@ def recording_names(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", name.alias("name"))
 
 
+@query(f"""WITH {EV} SELECT event_id, CASE event_type WHEN 'click' THEN 'cam_cal_' WHEN 'purchase' THEN 'imu_cal_' ELSE '' END || strftime(make_timestamp(us + {182 * DAY_US}) - INTERVAL 4 HOUR, 'rosbag2_%Y_%m_%d-%H_%M_%S') AS name FROM ev""")
+def summer_names(spark, sf_dir):
+    """Half a year later: four hours behind UTC."""
+    name = assembly.recording_name(F.timestamp_micros(F.col("us") + 182 * DAY_US), F.col("event_type"), {"view": "", "click": "cam_cal", "purchase": "imu_cal"})
+    return events(spark, sf_dir).select("event_id", name.alias("name"))
+
+
 @query(f"""WITH {EV}, e AS (SELECT user_id, max(us) // 2 + min(us) // 2 AS e FROM ev GROUP BY user_id), o AS (SELECT user_id, e, us FROM e JOIN ev USING (user_id) WHERE event_type = 'view'),
 p AS (SELECT user_id, e, coalesce((SELECT max(us) FROM o WHERE o.user_id = e.user_id AND us <= e), e) AS us FROM e UNION ALL SELECT user_id, e, us FROM o WHERE us > e),
 c AS (SELECT user_id, e, greatest(e, us + {20 * HOUR_US}) AS done, us FROM p), q AS (SELECT user_id, e, done FROM c WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.user_id = c.user_id AND p.us > c.us AND p.us < c.done))

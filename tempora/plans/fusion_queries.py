@@ -88,3 +88,13 @@ def scan_planes(spark, sf_dir):
     points = rows.select("scan", "x", "y", (0.2 * F.col("x") - 0.1 * F.col("y") + 1 + F.when(F.col("g") >= 3, F.col("off")).otherwise(0)).alias("z"))
     found = consensus.plane_by_consensus(points, ["scan"], tries=60)
     return found.select("scan", *(F.round(c, 4).alias(c) for c in ("nx", "ny", "nz", "d")), "inliers")
+
+
+@query(f"""WITH {EV}, s AS (SELECT event_id, user_id, us / 3.6e9 AS h, value / CASE WHEN user_id % 2 = 0 THEN 300 ELSE 20 END AS sigma FROM ev), q AS (SELECT user_id, quantile_cont(sigma, 0.25) AS q FROM s GROUP BY user_id),
+b AS (SELECT s.*, sigma > CASE WHEN q < 0.05 THEN 0.5 ELSE 5.0 END AS bad FROM s JOIN q USING (user_id)), k AS (SELECT event_id, user_id FROM b WHERE NOT EXISTS (SELECT 1 FROM b o WHERE o.user_id = b.user_id AND o.bad AND abs(o.h - b.h) <= 5.0))
+SELECT event_id, user_id FROM k WHERE user_id IN (SELECT user_id FROM k GROUP BY user_id HAVING count(*) >= 20)""")
+def gated_fixes(spark, sf_dir):
+    """Fixes of precise users (even ones) and of others, in hours instead of seconds: both gates and the guard take effect."""
+    sigma = F.col("value") / F.when(F.col("user_id") % 2 == 0, 300).otherwise(20)
+    rows = events(spark, sf_dir).select("event_id", "user_id", (F.col("us") / 3.6e9).alias("h"), sigma.alias("sigma"))
+    return fusion.gate_fixes(rows, U, "h", "sigma").select("event_id", "user_id")
