@@ -1,4 +1,4 @@
-"""Planes and circles by consensus: seeded triples of points give hypotheses, all points of a scan vote on each.
+"""Planes, circles and motions by consensus: seeded triples of points give hypotheses, all points of a scan vote on each.
 
 Points stay where they are; a scan's hypotheses, at most ``tries`` of them, are sent to them. Votes are counted by one
 aggregation, partly before the shuffle, so a scan with most of the points is as many tasks as it has partitions.
@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.operators.geometry import circle_fit
+from tempora.operators.fusion import rigid_fit
+from tempora.operators.geometry import circle_fit, rotate_point
 from tempora.scratch import written
 
 #: Hypotheses that are broadcast at once (some 10 MB); more are joined by shuffle.
@@ -130,3 +131,44 @@ def board_circle(points: DataFrame, keys: list[str], axes: tuple[str, str, str]
     both = circles.join(based.drop("inliers"), keys)
     centre = (F.col("cx") * F.col("_u")[i] + F.col("cy") * F.col("_v")[i] + F.col("d") * n[i] for i in range(3))
     return both.select(*keys, *(c.alias(a) for c, a in zip(centre, "xyz")), "r", "inliers", "nx", "ny", "nz")
+
+
+def rigid_by_consensus(pairs: DataFrame, keys: list[str], threshold: float = 0.05, tries: int = 500, seed: int = 0) -> DataFrame:
+    """keys, rotation, translation, inliers, vote_rotation, vote_translation: the motion from points ax, ay, az to bx, by, bz that
+    most pairs agree with, fitted again to those within the threshold of the voted one.
+
+    A triple's motion takes the frame of its first points to that of the second ones and mean to mean. Keys with fewer than three
+    agreeing pairs, or whose first points are all on a line, have no row; pairs with a null are left out.
+    """
+    names = [f"{s}{c}" for s in "ab" for c in "xyz"]
+    good = pairs.dropna(subset=names)
+
+    def cross(a: list[Column], b: list[Column]) -> list[Column]:
+        return [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+
+    def unit(v: list[Column]) -> list[Column]:
+        size = F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+        return [F.when(size > 1e-9, c / size) for c in v]
+
+    def frame(p: list[Column], s: str) -> list[list[Column]]:
+        axes = [f"{s}{c}" for c in "xyz"]
+        first = unit(_minus(p[1], p[0], axes))
+        last = unit(cross(first, _minus(p[2], p[0], axes)))
+        return [first, cross(last, first), last]
+
+    def model(p: list[Column]) -> Column:
+        one, two = frame(p, "a"), frame(p, "b")
+        turn = [sum((two[k][i] * one[k][j] for k in range(1, 3)), two[0][i] * one[0][j]) for i in range(3) for j in range(3)]
+        mean = {s: [(p[0][f"{s}{c}"] + p[1][f"{s}{c}"] + p[2][f"{s}{c}"]) / 3 for c in "xyz"] for s in "ab"}
+        shift = [b - q for b, q in zip(mean["b"], rotate_point(turn, *mean["a"]))]
+        return F.when(one[2][0].isNotNull() & two[2][0].isNotNull(), F.struct(F.array(*turn).alias("r"), F.array(*shift).alias("t")))
+
+    def off(m: Column) -> Column:
+        moved = [q + m["t"][i] for i, q in enumerate(rotate_point(m["r"], *(F.col(f"a{c}") for c in "xyz")))]
+        miss = [q - F.col(f"b{c}") for q, c in zip(moved, "xyz")]
+        return F.sqrt(miss[0] * miss[0] + miss[1] * miss[1] + miss[2] * miss[2])
+
+    best = _best(good, keys, names, model, off, threshold, tries, seed).where("votes >= 3")
+    inside = good.select(*keys, *names).join(best, keys).where(off(F.col("model")) <= threshold)
+    votes = best.select(*keys, F.col("model.r").alias("vote_rotation"), F.col("model.t").alias("vote_translation"))
+    return rigid_fit(inside.select(*keys, *names), keys, "row").select(*keys, "rotation", "translation", F.col("n").alias("inliers")).join(votes, keys)

@@ -227,39 +227,6 @@ def normal_equations(nodes: dict[str, np.ndarray], weights: Weights) -> tuple[np
     return diag, lower, right
 
 
-def ransac_rigid(pairs: DataFrame, keys: list[str], threshold: float = 0.05, tries: int = 500, seed: int = 0) -> DataFrame:
-    """keys, rotation, translation, inliers: rigid motion by consensus of random triples, refitted on the best consensus.
-
-    For calibration: some hundred correspondences per key. Fewer than three give no row.
-    """
-    schema = ", ".join([*(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys), "rotation array<double>, translation array<double>, inliers int"])
-
-    def fit(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ca, cb = a.mean(0), b.mean(0)
-        u, _, vt = np.linalg.svd((a - ca).T @ (b - cb))
-        rot = vt.T @ np.diag([1, 1, 1 if np.linalg.det(vt.T @ u.T) > 0 else -1]) @ u.T
-        return rot, cb - rot @ ca
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([f"{s}{c}" for s in "ab" for c in "xyz"])
-        a, b = (frame[[f"{s}{c}" for c in "xyz"]].to_numpy(float) for s in "ab")
-        if len(a) < 3:
-            return pd.DataFrame(columns=[*keys, "rotation", "translation", "inliers"])
-        rng, best = np.random.default_rng(seed), np.zeros(len(a), bool)
-        for _ in range(tries):
-            some = rng.choice(len(a), 3, replace=False)
-            rot, shift = fit(a[some], b[some])
-            good = np.linalg.norm(a @ rot.T + shift - b, axis=1) < threshold
-            if good.sum() > best.sum():
-                best = good
-        if best.sum() < 3:
-            return pd.DataFrame(columns=[*keys, "rotation", "translation", "inliers"])
-        rot, shift = fit(a[best], b[best])
-        return pd.DataFrame([[*(frame[k].iloc[0] for k in keys), rot.ravel().tolist(), shift.tolist(), int(best.sum())]], columns=[*keys, "rotation", "translation", "inliers"])
-
-    return pairs.groupBy(*keys).applyInPandas(run, schema)
-
-
 def local_deviation(rows: DataFrame, keys: list[str], t: str, axes: list[str], window: int = 5, least: int = 5) -> DataFrame:
     """Rows with ``deviation``: distance from the least-squares parabola through up to ``window`` rows on either side, the row
     itself left out.

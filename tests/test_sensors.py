@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempora.functions import scalar as sc
-from tempora.operators import clock, fusion, geometry, retrieval, telemetry
+from tempora.operators import clock, consensus, fusion, geometry, retrieval, telemetry
 from tempora.operators.temporal import fold_events
 from tempora.sources import can, catalog
 from tempora.streaming import health
@@ -160,7 +160,7 @@ def test_rigid_fits(spark):
     clean = spark.createDataFrame([("k", *map(float, p), *map(float, q)) for p, q in list(zip(a, b))[8:]], df.schema)
     r = fusion.rigid_fit(clean, ["k"]).first()
     assert np.allclose(np.array(r.rotation).reshape(3, 3), turn) and np.allclose(r.translation, [1, 2, 3])
-    c = fusion.ransac_rigid(df, ["k"]).first()
+    c = consensus.rigid_by_consensus(df, ["k"], tries=100).first()
     assert c.inliers == 32 and np.allclose(np.array(c.rotation).reshape(3, 3), turn)
 
 
