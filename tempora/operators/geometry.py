@@ -183,3 +183,35 @@ def april_grid(rows: int, cols: int, size: float, spacing: float, spark) -> Data
     corner = F.explode(F.array(*(F.struct(F.lit(i).alias("corner"), F.lit(dx * size).alias("dx"), F.lit(dy * size).alias("dy")) for i, (dx, dy) in enumerate(((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))))))
     grid = tags.withColumn("c", corner)
     return grid.select("tag_id", "c.corner", (F.col("tag_id") % cols * step + F.col("c.dx")).alias("x"), (F.floor(F.col("tag_id") / cols) * step + F.col("c.dy")).alias("y"), F.lit(0.0).alias("z"))
+
+
+def undistort(points: DataFrame, k: list[float], lens: list[float], rectify: list[float] | None = None, new_k: list[float] | None = None, rounds: int = 5, u: str = "u", v: str = "v") -> DataFrame:
+    """``points`` with x, y: their pixels u, v without the lens's distortion, turned by ``rectify`` and seen through ``new_k``.
+
+    ``k`` and ``new_k`` are 3x3 (``new_k`` may be 3x4; without one x, y are on the plane at depth 1); ``lens`` holds k1, k2, p1, p2 and,
+    if there are more, k3, then k4, k5, k6 of the rational form. The inverse is a fixed point, taken ``rounds`` times: five suit mild
+    lenses, strong ones need more. Where the scale turns negative the point is left as it was. Nulls stay null.
+    """
+    if len(lens) not in (4, 5, 8):
+        raise ValueError("a lens has 4, 5 or 8 coefficients")
+    k1, k2, p1, p2, k3, k4, k5, k6 = [*map(float, lens), *[0.0] * (8 - len(lens))]
+    turn = rectify or [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0]
+    x0, y0 = (F.col(u) - float(k[2])) / float(k[0]), (F.col(v) - float(k[5])) / float(k[4])
+    held = points.withColumn("_0", F.when(F.col(u).isNotNull() & F.col(v).isNotNull(), F.struct(x0.cast("double").alias("x"), y0.cast("double").alias("y"), F.lit(False).alias("bad"))))
+
+    def closer(at: Column, _: Column) -> Column:
+        x, y, first = at["x"], at["y"], F.col("_0")
+        r2 = x * x + y * y
+        scale = (((r2 * k6 + k5) * r2 + k4) * r2 + 1) / (((r2 * k3 + k2) * r2 + k1) * r2 + 1)
+        aside, down = x * y * (2 * p1) + (r2 + x * x * 2) * p2, (r2 + y * y * 2) * p1 + x * y * (2 * p2)
+        bad = at["bad"] | (scale < 0)
+        return F.struct(F.when(bad, first["x"]).otherwise((first["x"] - aside) * scale).alias("x"), F.when(bad, first["y"]).otherwise((first["y"] - down) * scale).alias("y"), bad.alias("bad"))
+
+    held = held.withColumn("_0", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.col("_0"), closer) if rounds > 0 else F.col("_0"))
+    ray = rotate_point([F.lit(float(c)) for c in turn], F.col("_0.x"), F.col("_0.y"), F.lit(1.0))
+    x, y = ray[0] / ray[2], ray[1] / ray[2]
+    if new_k:
+        wide = 4 if len(new_k) == 12 else 3
+        x, y = x * float(new_k[0]) + y * float(new_k[1]) + float(new_k[2]), y * float(new_k[wide + 1]) + float(new_k[wide + 2])
+    names = [c for c in points.columns if c not in ("x", "y")]
+    return held.select(*names, x.alias("x"), y.alias("y"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tempora.operators import refinement
+from tempora.operators import geometry, refinement
 from tempora.operators.fusion import so3_exp
 
 PAIR = "k string, ax double, ay double, az double, bx double, by double, bz double"
@@ -106,3 +106,32 @@ def test_circles_like_the_dense_solve(spark):
     ).first()
     assert found.residuals == 6 * (3 + 2 * 25)
     same(found, dense(residual, *begin))
+
+
+K, LENSES = [300.0, 0.0, 320.0, 0.0, 310.0, 240.0, 0.0, 0.0, 1.0], ([-0.2, 0.05, 0.001, -0.002], [-0.2, 0.05, 0.001, -0.002, -0.01], [0.1, -0.05, 0.001, 0.0005, 0.01, 0.2, -0.03, 0.01])
+
+
+@pytest.mark.parametrize("lens", LENSES, ids=["4", "5", "8"])
+def test_undistort_there_and_back(spark, lens):
+    rng = np.random.default_rng(1)
+    x, y = rng.uniform(-0.7, 0.7, (2, 200))
+    k1, k2, p1, p2, k3, k4, k5, k6 = [*lens, *[0.0] * (8 - len(lens))]
+    r2 = x * x + y * y
+    scale = (1 + k1 * r2 + k2 * r2**2 + k3 * r2**3) / (1 + k4 * r2 + k5 * r2**2 + k6 * r2**3)
+    bent = x * scale + 2 * p1 * x * y + p2 * (r2 + 2 * x * x), y * scale + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y
+    rows = [(i, float(300 * a + 320), float(310 * b + 240), "kept") for i, (a, b) in enumerate(zip(*bent))]
+    df = spark.createDataFrame([*rows, (-1, None, 3.0, "null")], "i int, u double, v double, x string")
+    found = {r.i: r for r in geometry.undistort(df, K, lens, rounds=60).collect()}
+    assert max(max(abs(found[i].x - x[i]), abs(found[i].y - y[i])) for i in range(200)) < 1e-9 and found[-1].x is None and found[-1].y is None
+    turn, new_k = turn_of(0.02, -0.05, 0.1), np.array([[250.0, 0, 300, 7], [0, 260, 200, 0], [0, 0, 1, 0]])
+    seen = new_k[:, :3] @ turn @ np.stack([x, y, np.ones(200)])
+    got = geometry.undistort(df, K, lens, turn.ravel().tolist(), new_k.ravel().tolist(), rounds=60).where("i >= 0").orderBy("i").collect()
+    assert np.allclose([(r.x, r.y) for r in got], (seen[:2] / seen[2]).T, atol=1e-6)
+
+
+def test_undistort_leaves_points_behind_the_lens(spark):
+    df = spark.createDataFrame([(10_000.0, 240.0)], "u double, v double")
+    (r,) = geometry.undistort(df, K, [-0.2, 0.0, 0.0, 0.0]).collect()
+    assert (r.x, r.y) == ((10_000 - 320) / 300, 0.0)
+    with pytest.raises(ValueError):
+        geometry.undistort(df, K, [0.1])
