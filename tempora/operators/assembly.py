@@ -57,7 +57,7 @@ def frame_rows(triggers: DataFrame, packets: DataFrame, model: DataFrame, keys:
 
 
 def event_rows(events: DataFrame, model: DataFrame, keys: list[str], packet: str, t: str, order: str, slack: float = 1e-7, bucket: float | None = None) -> DataFrame:
-    """``events`` with their time on the main clock as main (seconds) and t_us (whole microseconds).
+    """``events`` with their time on the main clock as main (seconds) and t_us (whole microseconds, rounded down before 0 too).
 
     Packets go whole in which time steps back by more than ``slack``, or whose first row maps to before 0. Every row is
     mapped in place: gathering equal times first would cost a second shuffle of all events.
@@ -65,7 +65,7 @@ def event_rows(events: DataFrame, model: DataFrame, keys: list[str], packet: str
     good = temporal.good_packets(events, keys, packet, t, order, slack)
     mapped = clock.map_to_main(good, model, keys, t, "main", bucket)
     begun = mapped.groupBy(*keys, packet).agg(F.min_by("main", order).alias("_first")).where("_first >= 0").select(*keys, packet)
-    return mapped.join(begun, [*keys, packet], "left_semi").withColumn("t_us", (F.col("main") * 1e6).cast("long"))
+    return mapped.join(begun, [*keys, packet], "left_semi").withColumn("t_us", F.floor(F.col("main") * 1e6))
 
 
 def signals(rows: DataFrame, model: DataFrame, keys: list[str], t: str, scales: dict[str, float], bucket: float | None = None) -> DataFrame:

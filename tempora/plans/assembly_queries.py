@@ -63,7 +63,7 @@ def event_assembly(spark, sf_dir):
     """Packets of a user's days, their rows in the order of values: days that step back by more than 30,000 s go."""
     ev = events(spark, sf_dir).withColumn("packet", F.expr(f"us div {DAY_US}")).withColumn("o", F.struct("value", "event_id"))
     found = assembly.event_rows(ev, _model(ev), U, "packet", "t", "o", 30000.0, WEEK_S)
-    return found.select("event_id", F.expr("floor(t_us / 1000)").alias("ms"))
+    return found.select("event_id", F.floor(F.col("main") * 1000).alias("ms"))
 
 
 @query(f"""WITH {EV}, src AS (SELECT event_id, t, value, us // {HOUR_US} % 24 AS hour, event_type FROM ev), {MAPPED}

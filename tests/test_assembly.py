@@ -97,3 +97,10 @@ def test_signals_write_a_folder_each(spark, tmp_path):
     assembly.write_signals(assembly.signals(rows, model, ["s"], "t", {"v": 2.0, "w": 1.0}), str(tmp_path / "signals"))
     found = {(r.signal, r.t, r.value) for r in spark.read.parquet(str(tmp_path / "signals")).collect()}
     assert found == {("v", 1.0, 10.0), ("w", 2.0, 3.0)} and (tmp_path / "signals/signal=v").is_dir()
+
+
+def test_event_times_before_the_lock_round_down(spark):
+    model = spark.createDataFrame([("a", 0.0, 0.0, 1.0, 0.0), ("a", 10.0, 0.0, 1.0, 0.0)], "s string, dev double, b double, a double, dev0 double")
+    rows = spark.createDataFrame([("a", 1, 0, 2.0), ("a", 1, 1, -1.0000004)], "s string, p int, o int, t double")
+    found = assembly.event_rows(rows, model, ["s"], "p", "t", "o", 10.0).collect()
+    assert {(r.o, r.t_us) for r in found} == {(0, 2000000), (1, -1000001)}
