@@ -128,16 +128,13 @@ def so3_log(r: np.ndarray) -> np.ndarray:
     trace = m[:, 0, 0] + m[:, 1, 1] + m[:, 2, 2]
     squares = np.stack([trace, m[:, 0, 0], m[:, 1, 1], m[:, 2, 2]], 1)
     best = squares.argmax(1)
-    for i, b in enumerate(best):
-        if b == 0:
-            s = 2 * np.sqrt(max(0.0, 1 + trace[i]))
-            q[i] = [s / 4, *(np.array([m[i, 2, 1] - m[i, 1, 2], m[i, 0, 2] - m[i, 2, 0], m[i, 1, 0] - m[i, 0, 1]]) / s)]
-        else:
-            x, y, z = b - 1, b % 3, (b + 1) % 3
-            s = 2 * np.sqrt(max(1e-300, 1 + m[i, x, x] - m[i, y, y] - m[i, z, z]))
-            v = np.empty(3)
-            v[x], v[y], v[z] = s / 4, (m[i, x, y] + m[i, y, x]) / s, (m[i, x, z] + m[i, z, x]) / s
-            q[i] = [(m[i, z, y] - m[i, y, z]) / s, *v]
+    k = np.flatnonzero(best == 0)
+    s = 2 * np.sqrt(np.maximum(0.0, 1 + trace[k]))
+    q[k] = np.stack([s / 4, (m[k, 2, 1] - m[k, 1, 2]) / s, (m[k, 0, 2] - m[k, 2, 0]) / s, (m[k, 1, 0] - m[k, 0, 1]) / s], 1)
+    for x in range(3):
+        y, z, k = (x + 1) % 3, (x + 2) % 3, np.flatnonzero(best == x + 1)
+        s = 2 * np.sqrt(np.maximum(1e-300, 1 + m[k, x, x] - m[k, y, y] - m[k, z, z]))
+        q[k, 0], q[k, 1 + x], q[k, 1 + y], q[k, 1 + z] = (m[k, z, y] - m[k, y, z]) / s, s / 4, (m[k, x, y] + m[k, y, x]) / s, (m[k, x, z] + m[k, z, x]) / s
     q *= np.where(q[:, :1] < 0, -1, 1)
     size = np.linalg.norm(q[:, 1:], axis=1)
     scale = np.where(size < 1e-12, 2.0, 2 * np.arctan2(size, q[:, 0]) / np.where(size < 1e-12, 1, size))
@@ -186,10 +183,11 @@ def normal_equations(nodes: dict[str, np.ndarray], weights: Weights) -> tuple[np
     """Diagonal and lower blocks and right side of a Gauss-Newton step on consecutive poses r (n, 3, 3), p (n, 3).
 
     nodes: t, r, p, the odometry rot and pos, loose, fix and sigma (NaN without a fix), and turn, the gyro's rotation to the
-    next pose (NaN without one). Steps move a pose by its own rotation vector and a shift of the position.
+    next pose (NaN without one); with several chains in a row, linked says which poses belong with the one behind. Steps move
+    a pose by its own rotation vector and a shift of the position.
     """
     t, r, p, rot, pos, loose, fix, sigma, turned = (nodes[k] for k in ("t", "r", "p", "rot", "pos", "loose", "fix", "sigma", "turn"))
-    n = len(t)
+    n, linked = len(t), nodes.get("linked", np.ones(max(0, len(t) - 1), bool))
     diag, lower, right = np.zeros((n, 6, 6)), np.zeros((max(0, n - 1), 6, 6)), np.zeros((n, 6))
     if n > 1:
         gap = np.maximum(np.diff(t), 1e-3)
@@ -201,13 +199,13 @@ def normal_equations(nodes: dict[str, np.ndarray], weights: Weights) -> tuple[np
         a[:, 3:, :3], a[:, 3:, 3:], b[:, 3:, 3:] = _hat(ahead), -back, back
         before = np.swapaxes(rot[:-1], 1, 2)
         step_r, step_p = before @ rot[1:], np.einsum("nij,nj->ni", before, pos[1:] - pos[:-1])
-        terms = [(step_r, step_p, weights.step_rad * scale, weights.step_m * scale, np.ones(n - 1, bool))]
-        has = np.isfinite(turned[:-1]).all((1, 2))
+        terms = [(step_r, step_p, weights.step_rad * scale, weights.step_m * scale, linked)]
+        has = np.isfinite(turned[:-1]).all((1, 2)) & linked
         if has.any():
             some = np.where(has[:, None, None], turned[:-1], np.eye(3))
             terms.append((some, np.zeros((n - 1, 3)), np.maximum(weights.gyro * np.sqrt(gap), weights.gyro_least), np.full(n - 1, weights.gyro_m), has))
         for want_r, want_p, sr, sp, used in terms:
-            err = np.concatenate([so3_log(np.swapaxes(want_r, 1, 2) @ own), ahead - want_p], 1)
+            err = np.concatenate([so3_log(np.swapaxes(want_r, 1, 2) @ own), ahead - want_p], 1) * used[:, None]
             w = np.concatenate([np.repeat(used[:, None] / sr[:, None] ** 2, 3, 1), np.repeat(used[:, None] / sp[:, None] ** 2, 3, 1)], 1)
             slope = so3_log_slope(err[:, :3])
             one, two = a.copy(), b.copy()

@@ -8,6 +8,7 @@ these borders of a sequence come together, a row a slice, and what they are move
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -42,40 +43,72 @@ def _flat(name: str) -> Column:
     return F.flatten(F.transform("own", lambda x: x[name])).alias(name)
 
 
-def _nodes(row) -> dict[str, np.ndarray]:
-    out = {}
+@dataclass
+class _Eliminated:
+    """Slices side by side, those of most own poses first, padded to its length, their inner poses eliminated in order."""
+
+    order: np.ndarray  # places of the slices in their frame
+    n: np.ndarray  # poses, the next slice's first included
+    m: np.ndarray  # own poses
+    nodes: dict[str, np.ndarray]  # of all slices, one behind the other
+    at: tuple[np.ndarray, np.ndarray]  # slice and place of each of them
+    diag: np.ndarray
+    couple: np.ndarray  # to the first pose
+    right: np.ndarray
+    lower: np.ndarray
+
+
+def _eliminate(frame: pd.DataFrame, weights: Weights) -> _Eliminated:
+    n = frame["t"].map(len).to_numpy()
+    order = np.argsort(-frame["m"].to_numpy(), kind="stable")
+    frame, n = frame.iloc[order], n[order]
+    m, first = frame["m"].to_numpy(), frame["first"].to_numpy(bool)
+    nodes = {}
     for c, width in WIDTHS.items():
-        v = np.array(getattr(row, c), float)
-        out[c] = v if width == 1 else v.reshape((-1, 3, 3) if width == 9 else (-1, 3))
-    out["loose"] = out["loose"] > 0
-    return out
-
-
-def _slice_system(row, weights: Weights) -> tuple[dict[str, np.ndarray], np.ndarray, list, np.ndarray, np.ndarray, int]:
-    """(poses, diagonal, coupling to the first, right side, lower, own poses) of a slice, its inner poses eliminated in order."""
-    nodes = _nodes(row)
-    n, m = len(nodes["t"]), int(row.m)
-    if n > m:  # the next slice's own terms are its own
-        nodes["fix"][m:] = np.nan
-    diag, lower, right = normal_equations(nodes, weights)
-    if row.first:
+        v = np.concatenate([np.asarray(x, float) for x in frame[c]])
+        nodes[c] = v if width == 1 else v.reshape((-1, 3, 3) if width == 9 else (-1, 3))
+    nodes["loose"] = nodes["loose"] > 0
+    begin = np.cumsum(n) - n
+    slice_, place = np.repeat(np.arange(len(n)), n), np.arange(n.sum()) - np.repeat(begin, n)
+    nodes["fix"][place >= m[slice_]] = np.nan  # the next slice's own terms are its own
+    nodes["linked"] = slice_[1:] == slice_[:-1]
+    d, lo, r = normal_equations(nodes, weights)
+    k = begin[first]
+    if len(k):
         # The sequence's first pose is held weakly where it began.
         w = np.repeat([1 / weights.first[0] ** 2, 1 / weights.first[1] ** 2], 3)
-        miss = np.concatenate([so3_log(nodes["r0"][:1].transpose(0, 2, 1) @ nodes["r"][:1])[0], nodes["p"][0] - nodes["p0"][0]])
-        slope = np.eye(6)
-        slope[:3, :3] = so3_log_slope(miss[None, :3])[0]
-        diag[0] += slope.T @ (w[:, None] * slope)
-        right[0] -= slope.T @ (w * miss)
-    couple = [None, lower[0] if n > 1 else None]
-    for i in range(1, m):
-        solved = np.linalg.solve(diag[i], np.column_stack([couple[i], right[i]]))
-        diag[0] -= couple[i].T @ solved[:, :6]
-        right[0] -= couple[i].T @ solved[:, 6]
-        if i + 1 < n:
-            diag[i + 1] -= lower[i] @ np.linalg.solve(diag[i], lower[i].T)
-            right[i + 1] -= lower[i] @ solved[:, 6]
-            couple.append(-lower[i] @ solved[:, :6])
-    return nodes, diag, couple, right, lower, m
+        miss = np.concatenate([so3_log(np.swapaxes(nodes["r0"][k], 1, 2) @ nodes["r"][k]), nodes["p"][k] - nodes["p0"][k]], 1)
+        slope = np.tile(np.eye(6), (len(k), 1, 1))
+        slope[:, :3, :3] = so3_log_slope(miss[:, :3])
+        back = np.swapaxes(slope, 1, 2)
+        d[k] += back @ (w[:, None] * slope)
+        r[k] -= np.einsum("nij,nj->ni", back, w * miss)
+    size = (len(n), int(n.max()) + 1)
+    diag, right, lower, couple = np.zeros((*size, 6, 6)), np.zeros((*size, 6)), np.zeros((*size, 6, 6)), np.zeros((*size, 6, 6))
+    diag[slice_, place], right[slice_, place] = d, r
+    inner = np.flatnonzero(nodes["linked"])
+    lower[slice_[inner], place[inner]] = lo[inner]
+    couple[:, 1] = lower[:, 0]
+    for i in range(1, int(m.max())):
+        s = slice(0, int((m > i).sum()))
+        solved = np.linalg.solve(diag[s, i], np.concatenate([couple[s, i], right[s, i, :, None], np.swapaxes(lower[s, i], 1, 2)], 2))
+        back = np.swapaxes(couple[s, i], 1, 2)
+        diag[s, 0] -= back @ solved[..., :6]
+        right[s, 0] -= (back @ solved[..., 6:7])[..., 0]
+        diag[s, i + 1] -= lower[s, i] @ solved[..., 7:]
+        right[s, i + 1] -= (lower[s, i] @ solved[..., 6:7])[..., 0]
+        couple[s, i + 1] = -lower[s, i] @ solved[..., :6]
+    return _Eliminated(order, n, m, nodes, (slice_, place), diag, couple, right, lower)
+
+
+def _parts(frames: Iterator[pd.DataFrame], poses: int = 1 << 15) -> Iterator[pd.DataFrame]:
+    """Slices that are solved side by side: some ``poses`` with the padding, however many come at once."""
+    for frame in frames:
+        frame, at = frame.sort_values("m", ascending=False), 0
+        while at < len(frame):
+            upto = at + max(1, poses // (int(frame["m"].iloc[at]) + 2))
+            yield frame.iloc[at:upto]
+            at = upto
 
 
 def _schema(df: DataFrame, keys: list[str]) -> str:
@@ -88,13 +121,12 @@ def _solve(slices: DataFrame, keys: list[str], weights: Weights, rounds: int, le
     reduced = f"{_schema(slices, keys)}, _s long, d0 array<double>, dm array<double>, c array<double>, r0 array<double>, rm array<double>"
 
     def reduce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for row in frame.rename(columns={"_s": "s_"}).itertuples(index=False):
-                nodes, diag, couple, right, _, m = _slice_system(row, weights)
-                more = len(nodes["t"]) > m
-                rows.append([*(getattr(row, k) for k in keys), row.s_, diag[0].ravel().tolist(), *((diag[m].ravel().tolist(), couple[m].ravel().tolist()) if more else (None, None)), right[0].tolist(), right[m].tolist() if more else None])
-            yield pd.DataFrame(rows, columns=[*by, "d0", "dm", "c", "r0", "rm"])
+        for frame in _parts(frames):
+            e = _eliminate(frame, weights)
+            at, more = (np.arange(len(e.m)), e.m), e.n > e.m
+            dm, c, rm = ([v.ravel().tolist() if has else None for v, has in zip(x[at], more)] for x in (e.diag, e.couple, e.right))
+            found = frame[by].iloc[e.order]
+            yield found.assign(d0=list(e.diag[:, 0].reshape(-1, 36)), dm=dm, c=c, r0=list(e.right[:, 0]), rm=rm)
 
     def borders(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_s")
@@ -112,19 +144,20 @@ def _solve(slices: DataFrame, keys: list[str], weights: Weights, rounds: int, le
     moved = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in slices.schema), "moved double"])
 
     def move(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for row in frame.itertuples(index=False):
-                nodes, diag, couple, right, lower, m = _slice_system(row, weights)
-                n = len(nodes["t"])
-                x = np.zeros((n, 6))
-                x[0] = row.x0
-                if n > m:
-                    x[m] = row.xm
-                for i in range(m - 1, 0, -1):
-                    x[i] = np.linalg.solve(diag[i], right[i] - couple[i] @ x[0] - (lower[i].T @ x[i + 1] if i + 1 < n else 0))
-                out.append(((nodes["r"] @ so3_exp(x[:, :3])).ravel(), (nodes["p"] + x[:, 3:]).ravel(), float(np.abs(x).max())))
-            yield frame.assign(r=[o[0] for o in out], p=[o[1] for o in out], moved=[o[2] for o in out])[[*columns, "moved"]]
+        for frame in _parts(frames):
+            e = _eliminate(frame, weights)
+            frame = frame.iloc[e.order]
+            x, more = np.zeros(e.right.shape), e.n > e.m
+            x[:, 0] = np.stack(frame["x0"].to_list())
+            if more.any():
+                x[np.flatnonzero(more), e.m[more]] = np.stack(frame["xm"][more].to_list())
+            for i in range(int(e.m.max()) - 1, 0, -1):
+                s = slice(0, int((e.m > i).sum()))
+                ahead = e.right[s, i, :, None] - e.couple[s, i] @ x[s, 0, :, None] - np.swapaxes(e.lower[s, i], 1, 2) @ x[s, i + 1, :, None]
+                x[s, i] = np.linalg.solve(e.diag[s, i], ahead)[..., 0]
+            step, ends = x[e.at], np.cumsum(e.n)[:-1]
+            r, p = e.nodes["r"] @ so3_exp(step[:, :3]), e.nodes["p"] + step[:, 3:]
+            yield frame.assign(r=[v.ravel() for v in np.split(r, ends)], p=[v.ravel() for v in np.split(p, ends)], moved=np.abs(x).max((1, 2)))[[*columns, "moved"]]
 
     for _ in range(rounds):
         steps = slices.mapInPandas(reduce, reduced).groupBy(*keys).applyInPandas(borders, f"{_schema(slices, keys)}, _s long, x0 array<double>, xm array<double>")
@@ -193,7 +226,7 @@ def fuse_trajectories(rows: DataFrame, keys: list[str], lever: tuple[float, floa
     start = written(laid)
     for c in parts:
         own = start.where(known).select(*keys, F.col("t").alias("_ft"), F.col(c).alias("_v"))
-        start = interpolate(start, own, keys, "_v", "t", "_ft", f"_{c}")
+        start = interpolate(start, own, keys, "_v", "t", "_ft", f"_{c}", slice_s)
     start = written(start.withColumn("p0", F.array(*(F.col(f"_{c}") for c in parts))).drop(*(f"_{c}" for c in parts)))
     nan = F.lit(float("nan"))
 

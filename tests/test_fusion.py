@@ -118,3 +118,11 @@ def test_gates_at_their_limits(spark):
     """A fix that is 5 s from a bad one as the difference of their times tells, though not by bounds added to a time."""
     near = spark.createDataFrame([("a", 0.5013063508333333, True), ("a", 5.5013063508333335, False), ("a", 5.6, False), ("a", None, False)], "k string, t double, bad boolean")
     assert {(r.t, r.near) for r in temporal.near_flag(near, ["k"], "t", F.col("bad"), 5.0, "near").collect()} == {(0.5013063508333333, True), (5.5013063508333335, True), (5.6, False), (None, False)}
+
+
+def test_nearest_rows_of_a_long_sequence_take_one_pass(spark):
+    """The plan of as-of joins has no frame that reaches to the end, which Spark goes through anew for every row."""
+    rows = spark.range(6).selectExpr("'a' as k", "id as t")
+    found = temporal.neighbours(rows, rows.where("t % 3 = 1"), ["k"], payload=[])
+    assert "unboundedfollowing" not in found._jdf.queryExecution().toString().lower()
+    assert [(r.prev and r.prev.t, r.next and r.next.t) for r in found.orderBy("t").collect()] == [(None, 1), (1, 1), (1, 4), (1, 4), (4, 4), (4, None)]
