@@ -17,21 +17,44 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.functions.scalar import normalised, tokens
 from tempora.operators import retrieval
 from tempora.operators.retrieval import B, EPSILON, K1
+from tempora.scratch import written
 
-#: Folders of the inverted index.
-FOLDERS = 64
+#: Folders of the inverted index, and words of the texts for each of a folder's files: some million rows of postings.
+FOLDERS, FILE_WORDS = 64, 2_000_000
+#: So many rows that are shown with captions are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 100_000
 
 
 def _folder(term: str | None = None, folders: int = FOLDERS):
     return F.pmod(F.xxhash64(F.col("term") if term is None else F.lit(term)), F.lit(folders)).cast("int")
 
 
+def _counted(words: Column) -> Column:
+    """(term, tf) of each different one of an array of words: runs of the sorted array, so nothing is shuffled to count."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(s) - 1, F.lit(0))), lambda i: F.get(s, i).isNotNull() & ~F.get(s, i).eqNullSafe(F.get(s, i - 1)))
+        # Arrays are variables of an outer function: as expressions they would be made again for every word.
+        return F.transform(F.array(starts), lambda at: F.transform(at, lambda p, k: F.struct(F.get(s, p).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - p).cast("long").alias("tf"))))[0]
+
+    return F.transform(F.array(F.sort_array(words)), runs)[0]
+
+
+def _postings(docs: DataFrame, folders: int, slices: int) -> DataFrame:
+    """The rows of ``postings`` from ``docs`` (id, w: all words), in ``slices`` files a folder; shuffled once, not sampled."""
+    # The outer form: for the other one Spark adds a filter that counts every text's words twice.
+    rows = docs.select("id", F.size("w").alias("dl"), F.explode_outer(_counted(F.col("w"))).alias("_t"))
+    rows = rows.select("id", "dl", "_t.term", "_t.tf").where("term is not null").withColumn("folder", _folder(folders=folders))
+    # Ids deal a folder's rows to its files evenly, also those of a word that most documents hold.
+    return rows.repartition(folders * slices, "folder", F.pmod(F.xxhash64("id"), F.lit(slices))).sortWithinPartitions("folder", "term")
+
+
 def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A table of an index; those that may be empty folders have fixed columns besides the documents' id."""
     if name not in ("postings", "terms"):
@@ -47,16 +70,14 @@ def build(path: str, docs: DataFrame, vectors: DataFrame | None = None, id_col:
     Texts without a word are documents of length 0, which no term finds; null ids are left out. ``stats`` is written last:
     a build that fails leaves none, and ``open_index`` says so.
     """
-    docs = docs.where(F.col(id_col).isNotNull())
-    cut = docs.withColumn("_w", tokens(F.coalesce(F.col(text_col), F.lit("")))).withColumn("dl", F.size("_w"))
-    cut.drop("_w").withColumnRenamed(id_col, "id").write.mode("overwrite").parquet(f"{path}/documents")
-    words = cut.select(F.col(id_col).alias("id"), "dl", F.explode("_w").alias("term"))
-    counted = words.groupBy("id", "dl", "term").agg(F.count("*").alias("tf")).withColumn("folder", _folder(folders=folders))
-    # A folder with a word that most documents hold is as many files as its rows ask for.
-    spread = counted.repartitionByRange("folder", "term", "id").sortWithinPartitions("folder", "term", "id")
-    spread.write.mode("overwrite").partitionBy("folder").parquet(f"{path}/postings")
     spark = docs.sparkSession
-    total = spark.read.parquet(f"{path}/documents").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
+    docs = docs.where(F.col(id_col).isNotNull())
+    words = tokens(F.coalesce(F.col(text_col), F.lit("")))
+    docs.withColumn("dl", F.size(words)).withColumnRenamed(id_col, "id").write.mode("overwrite").parquet(f"{path}/documents")
+    total = spark.read.parquet(f"{path}/documents").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), F.sum("dl").alias("words")).first()
+    slices = -(-(total.words or 1) // (folders * FILE_WORDS))
+    dealt = _postings(docs.select(F.col(id_col).alias("id"), words.alias("w")), folders, slices)
+    dealt.write.mode("overwrite").partitionBy("folder").parquet(f"{path}/postings")
     df = _read(spark, path, "postings").groupBy("folder", "term").agg(F.count("*").alias("df"))
     raw = F.log(F.lit(total.n) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     df.withColumn("raw", raw).repartition("folder").sortWithinPartitions("folder", "term").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/terms")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
+from tempora.functions.scalar import tokens
 from tempora.operators import retrieval, search_index
 
 WORDS = "ka mo ri tel vun sha nor lip dez gum".split()
@@ -42,3 +44,12 @@ def test_rebuilt_and_empty(spark, tmp_path):
         index = search_index.open_index(spark, path)
         assert index.n == len(texts) and {r.term for r in index.table("documents").select(F.explode(F.split("text", " ")).alias("term")).collect()} == {w for t in texts for w in t.split()}
     assert index.bm25_topk(["a"], 5).count() == 0
+
+
+def test_words_counted_inside_texts(spark):
+    texts = ["", "b a b  c", None, "a", "a a a", "é e é E"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").select("id", tokens(F.col("text")).alias("w"))
+    found = search_index._postings(docs, 4, 3)
+    assert sorted((r.id, r.dl, r.term, r.tf) for r in found.collect()) == sorted((i, len((t or "").split()), w, n) for i, t in enumerate(texts) for w, n in Counter((t or "").lower().split()).items())
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange ") == 1 and "rangepartitioning" not in plan and "Aggregate" not in plan
