@@ -129,7 +129,12 @@ class SearchIndex:
 
     def captions(self, found: DataFrame, length: int = 240) -> DataFrame:
         """``found`` (id, ...) with the caption of its document, cut to ``length`` characters; none is an empty one."""
-        texts = self.table("documents").select("id", F.left(F.coalesce("text", F.lit("")), F.lit(length)).alias("caption"))
+        found = written(found)
+        texts = self.table("documents")
+        if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+            # Few rows go to the documents; only their captions come back, and no other text moves.
+            texts = texts.join(F.broadcast(found.select("id").distinct()), "id", "left_semi")
+        texts = texts.select("id", F.left(F.coalesce("text", F.lit("")), F.lit(length)).alias("caption"))
         return found.join(texts, "id", "left").withColumn("caption", F.coalesce("caption", F.lit("")))
 
 

@@ -53,3 +53,15 @@ def test_words_counted_inside_texts(spark):
     assert sorted((r.id, r.dl, r.term, r.tf) for r in found.collect()) == sorted((i, len((t or "").split()), w, n) for i, t in enumerate(texts) for w, n in Counter((t or "").lower().split()).items())
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange ") == 1 and "rangepartitioning" not in plan and "Aggregate" not in plan
+
+
+def test_captions_move_no_other_text(spark, tmp_path):
+    path = str(tmp_path / "index")
+    search_index.build(path, spark.createDataFrame([(i, f"text {i}") for i in range(50)], "id long, text string"), folders=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = search_index.open_index(spark, path).captions(spark.createDataFrame([(3, 1), (3, 2), (None, 3), (99, 4)], "id long, place int"))
+        assert "BroadcastHashJoin [id" in (plan := shown._jdf.queryExecution().executedPlan().toString()) and "LeftSemi" in plan
+        assert sorted((r.place, r.caption) for r in shown.collect()) == [(1, "text 3"), (2, "text 3"), (3, ""), (4, "")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
