@@ -185,6 +185,10 @@ def april_grid(rows: int, cols: int, size: float, spacing: float, spark) -> Data
     return grid.select("tag_id", "c.corner", (F.col("tag_id") % cols * step + F.col("c.dx")).alias("x"), (F.floor(F.col("tag_id") / cols) * step + F.col("c.dy")).alias("y"), F.lit(0.0).alias("z"))
 
 
+#: Rounds of ``undistort`` that are steps of the plan; further ones are folded row by row, as a plan can't be of any length.
+COMPILED_ROUNDS = 10
+
+
 def undistort(points: DataFrame, k: list[float], lens: list[float], rectify: list[float] | None = None, new_k: list[float] | None = None, rounds: int = 5, u: str = "u", v: str = "v") -> DataFrame:
     """``points`` with x, y: their pixels u, v without the lens's distortion, turned by ``rectify`` and seen through ``new_k``.
 
@@ -197,18 +201,34 @@ def undistort(points: DataFrame, k: list[float], lens: list[float], rectify: lis
     k1, k2, p1, p2, k3, k4, k5, k6 = [*map(float, lens), *[0.0] * (8 - len(lens))]
     turn = rectify or [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0]
     x0, y0 = (F.col(u) - float(k[2])) / float(k[0]), (F.col(v) - float(k[5])) / float(k[4])
-    held = points.withColumn("_0", F.when(F.col(u).isNotNull() & F.col(v).isNotNull(), F.struct(x0.cast("double").alias("x"), y0.cast("double").alias("y"), F.lit(False).alias("bad"))))
+    known = F.col(u).isNotNull() & F.col(v).isNotNull()
+    first = {"_x0": F.when(known, x0.cast("double")), "_y0": F.when(known, y0.cast("double"))}
+    held = points.withColumns(first).withColumns({"_x": F.col("_x0"), "_y": F.col("_y0"), "_bad": F.lit(False)})
 
-    def closer(at: Column, _: Column) -> Column:
-        x, y, first = at["x"], at["y"], F.col("_0")
-        r2 = x * x + y * y
+    def terms(x: Column, y: Column, r2: Column) -> dict[str, Column]:
         scale = (((r2 * k6 + k5) * r2 + k4) * r2 + 1) / (((r2 * k3 + k2) * r2 + k1) * r2 + 1)
-        aside, down = x * y * (2 * p1) + (r2 + x * x * 2) * p2, (r2 + y * y * 2) * p1 + x * y * (2 * p2)
-        bad = at["bad"] | (scale < 0)
-        return F.struct(F.when(bad, first["x"]).otherwise((first["x"] - aside) * scale).alias("x"), F.when(bad, first["y"]).otherwise((first["y"] - down) * scale).alias("y"), bad.alias("bad"))
-
-    held = held.withColumn("_0", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.col("_0"), closer) if rounds > 0 else F.col("_0"))
-    ray = rotate_point([F.lit(float(c)) for c in turn], F.col("_0.x"), F.col("_0.y"), F.lit(1.0))
+        return {"_scale": scale, "_aside": x * y * (2 * p1) + (r2 + x * x * 2) * p2, "_down": (r2 + y * y * 2) * p1 + x * y * (2 * p2)}
+
+    def nearer(bad: Column, scale: Column, aside: Column, down: Column) -> dict[str, Column]:
+        return {f"_{c}": F.when(bad, F.col(f"_{c}0")).otherwise((F.col(f"_{c}0") - off) * scale) for c, off in (("x", aside), ("y", down))}
+
+    # A round is four column steps: what a step uses more than once is a column, so all of it is compiled and no lambda is walked.
+    x, y, r2, bad, lens_terms = F.col("_x"), F.col("_y"), F.col("_r2"), F.col("_bad"), [F.col(c) for c in ("_scale", "_aside", "_down")]
+    for _ in range(min(rounds, COMPILED_ROUNDS)):
+        held = held.withColumn("_r2", x * x + y * y)
+        held = held.withColumns(terms(x, y, r2))
+        held = held.withColumn("_bad", bad | F.coalesce(F.col("_scale") < 0, F.lit(False)))
+        held = held.withColumns(nearer(bad, *lens_terms))
+    if rounds > COMPILED_ROUNDS:
+
+        def closer(at: Column, _: Column) -> Column:
+            scale, aside, down = terms(at["_x"], at["_y"], at["_x"] * at["_x"] + at["_y"] * at["_y"]).values()
+            lost = at["_bad"] | F.coalesce(scale < 0, F.lit(False))
+            return F.struct(*(c.alias(n) for n, c in nearer(lost, scale, aside, down).items()), lost.alias("_bad"))
+
+        held = held.withColumn("_at", F.aggregate(F.sequence(F.lit(1), F.lit(rounds - COMPILED_ROUNDS)), F.struct("_x", "_y", "_bad"), closer))
+        held = held.withColumns({"_x": F.col("_at._x"), "_y": F.col("_at._y")})
+    ray = rotate_point([F.lit(float(c)) for c in turn], F.col("_x"), F.col("_y"), F.lit(1.0))
     x, y = ray[0] / ray[2], ray[1] / ray[2]
     if new_k:
         wide = 4 if len(new_k) == 12 else 3

@@ -135,3 +135,22 @@ def test_undistort_leaves_points_behind_the_lens(spark):
     assert (r.x, r.y) == ((10_000 - 320) / 300, 0.0)
     with pytest.raises(ValueError):
         geometry.undistort(df, K, [0.1])
+
+
+def test_undistort_is_compiled(spark):
+    """Five rounds run without a lambda, and rounds behind the compiled ones go on from them."""
+    df = spark.createDataFrame([(350.0, 260.0), (20.0, 30.0), (None, 5.0)], "u double, v double")
+    lens = [-0.15, 0.03, 0.001, -0.002, 0.004]
+    assert "lambda" not in geometry.undistort(df, K, lens)._jdf.queryExecution().executedPlan().toString()
+    for rounds in (0, 1, 9, 10, 11, 13):
+        for r in geometry.undistort(df, K, lens, rounds=rounds).collect():
+            if r.u is None:
+                assert r.x is None and r.y is None
+                continue
+            x0, y0 = (r.u - K[2]) / K[0], (r.v - K[5]) / K[4]
+            x, y = x0, y0
+            for _ in range(rounds):
+                r2 = x * x + y * y
+                scale = 1 / (((lens[4] * r2 + lens[1]) * r2 + lens[0]) * r2 + 1)
+                x, y = (x0 - (2 * lens[2] * x * y + lens[3] * (r2 + 2 * x * x))) * scale, (y0 - (lens[2] * (r2 + 2 * y * y) + 2 * lens[3] * x * y)) * scale
+            assert abs(r.x - x) < 1e-12 and abs(r.y - y) < 1e-12
