@@ -6,6 +6,7 @@ sequential by nature and run bucket by bucket (``clock_chain``).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,7 +70,7 @@ def bit_edges(samples: DataFrame, keys: list[str], order: str, status: str, devi
 
 
 def _half_even(x: float) -> float:
-    return float(np.rint(x))
+    return float(round(x)) if math.isfinite(x) else x
 
 
 def walk_split(place: np.ndarray, dev: np.ndarray, own: int, state: tuple | None, code: SplitCode) -> tuple[list[float], list[float], tuple | None]:
@@ -77,7 +78,7 @@ def walk_split(place: np.ndarray, dev: np.ndarray, own: int, state: tuple | None
 
     A walk over the first ``own`` edges with the time of the next second as state; ``skip`` edges belong to a second before.
     """
-    gaps, devs, mains = np.diff(place), [], []
+    gaps, dev, devs, mains = np.diff(place).tolist(), np.asarray(dev, float).tolist(), [], []
     _, now, anchored, at = state or (None, None, None, 0)
     while at < min(own, len(gaps)):
         gap = gaps[at]
@@ -103,12 +104,12 @@ def walk_split(place: np.ndarray, dev: np.ndarray, own: int, state: tuple | None
             else:
                 used = 1
         if seconds and now is not None:
-            devs.append(float(dev[at]))
-            mains.append(float(now))
+            devs.append(dev[at])
+            mains.append(now)
             now += seconds
         at += used
     skip = max(at - own, 0)
-    return devs, mains, None if now is None and not skip else (float(dev[min(at, len(dev) - 1)]), now, anchored, skip)
+    return devs, mains, None if now is None and not skip else (dev[min(at, len(dev) - 1)], now, anchored, skip)
 
 
 def walk_width(on: np.ndarray, width_ms: np.ndarray, own: int, state: tuple | None) -> tuple[list[float], list[float], tuple | None]:

@@ -41,3 +41,24 @@ def test_fit_takes_many_clocks_in_one_step(spark, steps):
         assert np.allclose([r.a for r in got], want.a, rtol=0, atol=1e-9) and np.allclose([r.b for r in got], want.b, rtol=0, atol=1e-6)
         rejected += sum(want.rejected)
     assert rejected > 100
+
+
+def test_decoding_takes_many_buckets_in_one_step(spark, steps):
+    code, rows, want = clock.FRAME_CODE, [], set()
+    for k in range(60):
+        place, dev = [], []
+        for s in range(3 + k, 500):
+            if s % 41 == k % 41 and s % 256 > 8:
+                continue
+            for gap in (0.0, float(code.base + s % 256)) if 1 <= s % 256 <= 6 else (0.0,):
+                place.append(s * code.rate + gap)
+                dev.append(s * 1.00002 + k + gap / code.rate)
+        rows += [(k, p, d) for p, d in zip(place, dev)]
+        want |= {(k, d, m) for d, m in zip(*clock.decode_split(np.array(place), np.array(dev), code))}
+
+    def walk(arrays, own, state):
+        return clock.walk_split(*arrays, own, state, code)
+
+    found = clock_chain.decode_in_buckets(spark.createDataFrame(rows, "k long, place double, dev double"), ["k"], ["place", "dev"], "dev", walk, before=False, bucket_s=30.0)
+    assert {tuple(r) for r in found.select("k", "dev", "main").collect()} == want and len(want) > 10_000
+    assert not any("FlatMapGroups" in p for p in steps)
