@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tempora.operators import clock, clock_chain
+from tempora.operators import clock, clock_chain, clock_plan
 
 
 @pytest.fixture
@@ -62,3 +62,22 @@ def test_decoding_takes_many_buckets_in_one_step(spark, steps):
     found = clock_chain.decode_in_buckets(spark.createDataFrame(rows, "k long, place double, dev double"), ["k"], ["place", "dev"], "dev", walk, before=False, bucket_s=30.0)
     assert {tuple(r) for r in found.select("k", "dev", "main").collect()} == want and len(want) > 10_000
     assert not any("FlatMapGroups" in p for p in steps)
+
+
+def test_planned_clocks_take_many_sequences_in_one_step(spark, steps):
+    code, rows = clock.COUNTER_CODE, []
+    for k in range(40):
+        for s in range(1, 60):
+            for gap in (0.0, float(code.base + code.step * s)) if s <= 6 else (0.0,):
+                rows.append((k, s * code.rate + gap, s * 1.00002 + 7 * k + gap / code.rate))
+    edges = spark.createDataFrame(rows, "k long, place double, dev double")
+    plans = [clock_plan.ClockPlan("imu", "edges", lambda rows, keys, bucket_s: clock.clock_from_split(rows, keys, code, bucket_s=bucket_s)), clock_plan.ClockPlan("frame_0", "frames", clock_plan.status_clock("t", clock.NOISE["frame"]))]
+    models = clock_plan.clock_models(edges.select("k"), {"edges": edges}, plans, ["k"], 20.0)
+    steps.append(models._jdf.queryExecution().optimizedPlan().toString())
+    found = models.collect()
+    assert not any("FlatMapGroups" in p for p in steps)
+    assert sum(r.pulse is None for r in found if r.sensor == "frame_0") == 40 and len(found) == 40 * 59
+    for k in range(40):
+        want = clock.fit_clock(*map(np.array, clock.decode_split(*np.array([r[1:] for r in rows if r[0] == k]).T, code)), clock.NOISE["imu"])
+        got = sorted((r for r in found if r.k == k and r.sensor == "imu"), key=lambda r: r.pulse)
+        assert [r.main for r in got] == list(want.main) and np.allclose([r.a for r in got], want.a, rtol=0, atol=1e-9)
