@@ -1,8 +1,8 @@
 """Extrinsics by damped least squares: Spark sums each round's normal equations, a step sees 28 numbers of a key.
 
-Points stay where they are. A round moves them by each key's candidate motion, and one aggregation, partly before the shuffle, makes
-the sums; so a key with most of the points is as many tasks as it has partitions. Keys are solved side by side, each with
-its own damping.
+Points stay where they are. A round moves them by each key's candidate motion, batch by batch in numpy, and one aggregation adds up the
+batches' sums, a row a key; so a key with most of the points is as many tasks as it has partitions. Keys are solved side by side,
+each with its own damping.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempora.operators.consensus import BROADCAST_ROWS, rigid_by_consensus
@@ -19,27 +20,42 @@ from tempora.operators.fusion import so3_exp
 from tempora.operators.geometry import rotate_point
 from tempora.scratch import written
 
-#: A residual and its slope along x, y, z of the moved point.
-Residual = tuple[Column, list[Column]]
+#: A residual of every row, its slope along x, y, z of the moved point, and the rows that have it (None: all).
+Residual = tuple[np.ndarray, list[np.ndarray | float], np.ndarray | None]
+#: Makes the residuals from the moved x, y, z and the columns of the points.
+Residuals = Callable[[list[np.ndarray], dict[str, np.ndarray]], list[Residual]]
 UPPER = [(i, j) for i in range(6) for j in range(i, 6)]
 STATE = "rotation array<double>, translation array<double>, cost double, sums array<double>, damping double, next_rotation array<double>, next_translation array<double>, done boolean, converged boolean"
 FIRST_DAMPING, LAST_DAMPING = 1e-3, 1e12
 
 
-def _totals(points: DataFrame, state: DataFrame, keys: list[str], at: list[str], residuals: Callable[[list[Column]], list[Residual]], few: bool) -> DataFrame:
+def _totals(points: DataFrame, state: DataFrame, keys: list[str], at: list[str], residuals: Residuals, few: bool) -> DataFrame:
     """keys, n, new: of each key that isn't done the 21 sums of J'J, 6 of J'r and the squares, at its candidate motion."""
-    motion = state.where("not done").select(*keys, "next_rotation", "next_translation")
+    moves = [*(F.col("next_rotation")[i].alias(f"_m{i}") for i in range(9)), *(F.col("next_translation")[i].alias(f"_m{9 + i}") for i in range(3))]
+    motion = state.where("not done").select(*keys, *moves)
     rows = points.join(F.broadcast(motion) if few else motion, keys)
-    turned = rotate_point(F.col("next_rotation"), *(F.col(c) for c in at))
-    rows = rows.select("*", *(q.alias(f"_q{i}") for i, q in enumerate(turned)))
-    rows = rows.select("*", *((F.col(f"_q{i}") + F.col("next_translation")[i]).alias(f"_p{i}") for i in range(3)))
-    each = [F.struct(r.cast("double").alias("r"), *(g.cast("double").alias(f"g{i}") for i, g in enumerate(slope))) for r, slope in residuals([F.col(f"_p{i}") for i in range(3)])]
-    rows = rows.select(*keys, "_q0", "_q1", "_q2", F.explode(F.array(*each)).alias("_e")).where("_e.r is not null")
-    q, g = [F.col(f"_q{i}") for i in range(3)], [F.col(f"_e.g{i}") for i in range(3)]
-    j = [q[1] * g[2] - q[2] * g[1], q[2] * g[0] - q[0] * g[2], q[0] * g[1] - q[1] * g[0], *g]
-    rows = rows.select(*keys, F.col("_e.r").alias("_r"), *(c.alias(f"_j{i}") for i, c in enumerate(j)))
-    sums = [F.sum(F.col(f"_j{a}") * F.col(f"_j{b}")) for a, b in UPPER] + [F.sum(F.col(f"_j{a}") * F.col("_r")) for a in range(6)] + [F.sum(F.col("_r") * F.col("_r"))]
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.array(*sums).alias("new"))
+    names = [f"_s{i}" for i in range(28)]
+    schema = ", ".join([*(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys), "_n long", *(f"{c} double" for c in names)])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c not in keys}
+            m, x = [v[f"_m{i}"] for i in range(12)], [v[c] for c in at]
+            q = [m[3 * i] * x[0] + m[3 * i + 1] * x[1] + m[3 * i + 2] * x[2] for i in range(3)]
+            total, n = [np.zeros(len(batch)) for _ in names], np.zeros(len(batch), np.int64)
+            for r, g, has in residuals([q[i] + m[9 + i] for i in range(3)], v):
+                j = [q[1] * g[2] - q[2] * g[1], q[2] * g[0] - q[0] * g[2], q[0] * g[1] - q[1] * g[0], *g]
+                used = 1 if has is None else has
+                for one, product in zip(total, [*((j[a], j[b]) for a, b in UPPER), *((j[a], r) for a in range(6)), (r, r)]):
+                    one += product[0] * product[1] * used
+                n += used
+            table = pa.table([*(batch.column(k) for k in keys), pa.array(n), *map(pa.array, total)], names=[*keys, "_n", *names])
+            found = table.group_by(keys, use_threads=False).aggregate([(c, "sum") for c in ("_n", *names)])
+            found = found.select([*keys, *(f"{c}_sum" for c in ("_n", *names))]).rename_columns([*keys, "_n", *names])
+            yield from found.combine_chunks().to_batches()
+
+    parts = rows.mapInArrow(sums, schema)
+    return parts.groupBy(*keys).agg(F.sum("_n").alias("n"), F.array(*(F.sum(c) for c in names)).alias("new")).where("n > 0")
 
 
 def _advanced(row: dict, tolerance: float) -> dict:
@@ -65,11 +81,12 @@ def _advanced(row: dict, tolerance: float) -> dict:
     return row | {"next_rotation": turned.ravel().tolist(), "next_translation": (np.array(row["translation"]) + step[3:]).tolist(), "done": converged or row["damping"] > LAST_DAMPING, "converged": converged}
 
 
-def refine_motion(points: DataFrame, keys: list[str], start: DataFrame, residuals: Callable[[list[Column]], list[Residual]], at: tuple[str, str, str] = ("ax", "ay", "az"), rounds: int = 60, tolerance: float = 1e-11) -> DataFrame:
+def refine_motion(points: DataFrame, keys: list[str], start: DataFrame, residuals: Residuals, at: tuple[str, str, str] = ("ax", "ay", "az"), rounds: int = 60, tolerance: float = 1e-11) -> DataFrame:
     """keys, rotation (9), translation (3), cost (sum of squares), residuals (their number), converged: each key's motion with
     the least squared residuals, from its ``start`` (keys, rotation, translation).
 
-    ``residuals`` gets the moved point's x, y, z and gives the row's residuals with their slopes; a null one doesn't count. Keys of
+    ``residuals`` gets the moved points' x, y, z and their other columns (numbers and flags without nulls) as arrays, and gives the
+    residuals with their slopes and the rows that have them. Keys of
     ``start`` without residuals keep their start, with a null cost; keys without a start have no row. A key that hasn't settled after
     ``rounds``, or isn't determined, is not ``converged``.
     """
@@ -104,9 +121,9 @@ def refine_motion(points: DataFrame, keys: list[str], start: DataFrame, residual
 def refine_pairs(pairs: DataFrame, keys: list[str], start: DataFrame, rounds: int = 60) -> DataFrame:
     """``refine_motion`` of points ax, ay, az onto bx, by, bz: three residuals a pair; pairs with a null are left out."""
     columns = [f"{s}{c}" for s in "ab" for c in "xyz"]
-    good = pairs.select(*keys, *columns).dropna(subset=columns)
-    unit = [[F.lit(1.0 if i == j else 0.0) for j in range(3)] for i in range(3)]
-    return refine_motion(good, keys, start, lambda p: [(p[i] - F.col(f"b{c}"), unit[i]) for i, c in enumerate("xyz")], rounds=rounds)
+    good = pairs.select(*keys, *(F.col(c).cast("double").alias(c) for c in columns)).dropna(subset=columns)
+    unit = np.eye(3).tolist()
+    return refine_motion(good, keys, start, lambda p, v: [(p[i] - v[f"b{c}"], unit[i], None) for i, c in enumerate("xyz")], rounds=rounds)
 
 
 def robust_motion(pairs: DataFrame, keys: list[str], threshold: float = 0.05, tries: int = 500, seed: int = 0) -> DataFrame:
@@ -129,31 +146,35 @@ def refine_on_circles(
     ``rims``: keys, scan, x, y, z of points on the rim. ``boards``: keys, scan, x, y, z (the measured centre of the circle), board_rotation
     (9) and board_translation (3) from board to camera; one row a scan. In the board's frame the centre has three residuals against
     ``centre``; a rim point has two, its distance from the axis against ``radius`` and its height along ``normal``. Scans without
-    rim points or without a board don't count; weights are of squares, one below zero counts as zero.
+    rim points or without a board (a pose with a null in it is none) don't count; weights are of squares, one below zero counts as zero.
     """
     size = sum(v * v for v in normal) ** 0.5 + 1e-12
     unit = [v / size for v in normal]
     w_centre, w_radius, w_plane = (max(w, 0.0) ** 0.5 for w in (centre_weight, radius_weight, plane_weight))
     xyz = [F.col(c).cast("double").alias(f"a{c}") for c in "xyz"]
-    rim = rims.dropna(subset=[scan, "x", "y", "z"]).select(*keys, scan, *xyz)
-    board = boards.dropna(subset=["x", "y", "z", "board_rotation", "board_translation"])
-    pose = board.select(*keys, scan, F.col("board_rotation").alias("_b"), F.col("board_translation").alias("_t"))
-    points = rim.join(pose, [*keys, scan]).withColumn("_rim", F.lit(True))
-    centres = board.select(*keys, scan, *xyz, F.col("board_rotation").alias("_b"), F.col("board_translation").alias("_t")).join(rim, [*keys, scan], "left_semi").withColumn("_rim", F.lit(False))
+    # Written first: a condition on nulls would be pushed below what makes the points, with all of it written out for each use.
+    rim = written(rims.select(*keys, scan, *xyz)).dropna(subset=[scan, "ax", "ay", "az"])
+    # A column a number: later rounds read them as they lie in the file.
+    names = [*(f"_b{i}" for i in range(9)), *(f"_t{i}" for i in range(3))]
+    flat = [*(F.col("board_rotation")[i].cast("double") for i in range(9)), *(F.col("board_translation")[i].cast("double") for i in range(3))]
+    board = written(boards.select(*keys, scan, *xyz, *(c.alias(n) for c, n in zip(flat, names))))
+    board = board.dropna(subset=["ax", "ay", "az"]).where(" and ".join(f"{n} is not null" for n in names))
+    points = rim.join(board.drop("ax", "ay", "az"), [*keys, scan]).withColumn("_rim", F.lit(True))
+    centres = board.join(rim, [*keys, scan], "left_semi").withColumn("_rim", F.lit(False))
     rows = written(points.unionByName(centres).drop(scan))
-    b, t, on_rim = F.col("_b"), F.col("_t"), F.col("_rim")
-    axes = [[b[i], b[3 + i], b[6 + i]] for i in range(3)]  # the board's axes, seen by the camera
-
-    def residuals(p: list[Column]) -> list[Residual]:
-        off = [sum((axes[i][k] * (p[k] - t[k]) for k in range(3)), F.lit(-float(centre[i]))) for i in range(3)]
-        across = F.hypot(off[0], off[1])
-        out = [(off[0] * axes[0][k] + off[1] * axes[1][k]) / across for k in range(3)]
-        flat = [sum((unit[i] * axes[i][k] for i in range(3)), F.lit(0.0)) for k in range(3)]
-        height = sum((unit[i] * off[i] for i in range(3)), F.lit(0.0))
+
+    def residuals(p: list[np.ndarray], v: dict[str, np.ndarray]) -> list[Residual]:
+        on_rim, axes = v["_rim"].astype(bool), [[v[f"_b{i}"], v[f"_b{3 + i}"], v[f"_b{6 + i}"]] for i in range(3)]  # the board's axes, seen by the camera
+        off = [sum(axes[i][k] * (p[k] - v[f"_t{k}"]) for k in range(3)) - float(centre[i]) for i in range(3)]
+        across = np.hypot(off[0], off[1])
+        span = np.where(across == 0, np.inf, across)
+        out = [(off[0] * axes[0][k] + off[1] * axes[1][k]) / span for k in range(3)]
+        flat = [sum(unit[i] * axes[i][k] for i in range(3)) for k in range(3)]
+        height = sum(unit[i] * off[i] for i in range(3))
         return [
-            (F.when(on_rim, (across - float(radius)) * w_radius).otherwise(off[0] * w_centre), [F.when(on_rim, F.when(across > 0, out[k]).otherwise(0.0) * w_radius).otherwise(axes[0][k] * w_centre) for k in range(3)]),
-            (F.when(on_rim, height * w_plane).otherwise(off[1] * w_centre), [F.when(on_rim, flat[k] * w_plane).otherwise(axes[1][k] * w_centre) for k in range(3)]),
-            (F.when(~on_rim, off[2] * w_centre), [axes[2][k] * w_centre for k in range(3)]),
+            (np.where(on_rim, (across - float(radius)) * w_radius, off[0] * w_centre), [np.where(on_rim, out[k] * w_radius, axes[0][k] * w_centre) for k in range(3)], None),
+            (np.where(on_rim, height * w_plane, off[1] * w_centre), [np.where(on_rim, flat[k] * w_plane, axes[1][k] * w_centre) for k in range(3)], None),
+            (off[2] * w_centre, [axes[2][k] * w_centre for k in range(3)], ~on_rim),
         ]
 
     return refine_motion(rows, keys, start, residuals, rounds=rounds)

@@ -49,18 +49,22 @@ def refined_boards(spark, sf_dir):
     hole as the laser sees them, without noise, so that the planted motion is found again. With noise it is tested against a dense solve."""
     rows = read(spark, sf_dir, "events").select("event_type", "user_id", (F.col("event_id") * 0.7).alias("angle"))
     a, b = F.col("user_id") * 0.37, F.col("user_id") * 0.11
-    ca, sa, cb, sb = F.cos(F.sin(a) * 0.6), F.sin(F.sin(a) * 0.6), F.cos(F.cos(b) * 0.5), F.sin(F.cos(b) * 0.5)
-    board = F.array(ca, F.lit(0.0), sa, sb * sa, cb, -sb * ca, -cb * sa, sb, cb * ca)
-    away = F.array(F.sin(b) * 0.3, F.cos(a) * 0.2, F.sin(a) * 0.5 + 3)
-    posed = rows.select("*", board.alias("board_rotation"), away.alias("board_translation"))
-
-    def seen(x, y, z):
-        camera = [p + F.col("board_translation")[i] - SHIFT[i] for i, p in enumerate(geometry.rotate_point(F.col("board_rotation"), x, y, z))]
-        back = [LASER[3 * j + i] for i in range(3) for j in range(3)]
-        return [p.alias(c) for p, c in zip(geometry.rotate_point([F.lit(v) for v in back], *camera), "xyz")]
-
-    rims = posed.select("event_type", "user_id", *seen(CENTRE[0] + RADIUS * F.cos("angle"), CENTRE[1] + RADIUS * F.sin("angle"), F.lit(CENTRE[2])))
-    boards = posed.select("event_type", "user_id", "board_rotation", "board_translation", *seen(*(F.lit(v) for v in CENTRE))).dropDuplicates(["event_type", "user_id"])
+    ca, sa, cb, sb = (F.col(f"_{c}") for c in ("ca", "sa", "cb", "sb"))
+    board = {f"_b{i}": c for i, c in enumerate((ca, F.lit(0.0), sa, sb * sa, cb, -sb * ca, -cb * sa, sb, cb * ca))}
+    away = {f"_t{i}": c for i, c in enumerate((F.sin(b) * 0.3, F.cos(a) * 0.2, F.sin(a) * 0.5 + 3))}
+    back = [F.lit(LASER[3 * j + i]) for i in range(3) for j in range(3)]
+
+    def seen(of, x, y, z):
+        # What a step uses more than once is a column, so that it isn't written out again wherever it is used.
+        turns = {"_ca": F.cos(F.sin(a) * 0.6), "_sa": F.sin(F.sin(a) * 0.6), "_cb": F.cos(F.cos(b) * 0.5), "_sb": F.sin(F.cos(b) * 0.5)}
+        posed = of.withColumns(turns | away | {"_x": x, "_y": y}).withColumns(board)
+        camera = geometry.rotate_point([F.col(c) for c in board], F.col("_x"), F.col("_y"), z)
+        posed = posed.withColumns({f"_c{i}": p + F.col(f"_t{i}") - SHIFT[i] for i, p in enumerate(camera)})
+        return posed.withColumns(dict(zip("xyz", geometry.rotate_point(back, *(F.col(f"_c{i}") for i in range(3))))))
+
+    rims = seen(rows, CENTRE[0] + RADIUS * F.cos("angle"), CENTRE[1] + RADIUS * F.sin("angle"), F.lit(CENTRE[2])).select("event_type", "user_id", *"xyz")
+    boards = seen(rows.select("event_type", "user_id").distinct(), *(F.lit(v) for v in CENTRE))
+    boards = boards.select("event_type", "user_id", F.array(*board).alias("board_rotation"), F.array(*away).alias("board_translation"), *"xyz")
     c, s = math.cos(0.2), math.sin(0.2)
     off = [c * LASER[j] - s * LASER[3 + j] for j in range(3)] + [s * LASER[j] + c * LASER[3 + j] for j in range(3)] + LASER[6:]
     start = rows.select("event_type").distinct().select("event_type", F.array(*(F.lit(v) for v in off)).alias("rotation"), F.array(F.lit(0.2), F.lit(0.0), F.lit(0.0)).alias("translation"))
