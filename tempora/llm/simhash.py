@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.llm.common import materialize
+from tempora.llm.common import materialize, release, small
 from tempora.llm.graph import connected_components
 
 BITS, RADIUS, WORDS, SEED = 64, 4, 4, 42
@@ -186,12 +186,14 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Of rows that share that id one stays. A group whose ids are all null keeps one row of each text in it.
     """
     groups = materialize(simhash_groups(docs, id_col, text_col, words))
-    kept = groups.where("doc_id = component_id or component_id is null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = materialize(kept.withColumnRenamed("doc_id", "_id"))
+    kept = F.count_if(F.expr("doc_id = component_id or component_id is null"))
+    # Ids that stay once, nearly all, aren't looked up: with few others no text moves.
+    counts = materialize(groups.groupBy(F.col("doc_id").alias("_id")).agg(kept.alias("n")).where("n <> 1"))
+    release(groups)
     same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id"))
-    left = docs.join(kept.select("_id"), same, "left_semi")
-    if kept.where("n > 1").limit(1).count():
-        repeated = docs.join(kept.where("n > 1").select("_id"), same, "left_semi")
+    left = docs.join(small(counts.select("_id")), same, "left_anti")
+    if counts.where("n > 1").limit(1).count():
+        repeated = docs.join(small(counts.where("n > 1").select("_id")), same, "left_semi")
         once = repeated.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col]).unionAll(repeated.where(F.col(f"`{id_col}`").isNull()).dropDuplicates([text_col]))
-        left = docs.join(kept.where("n = 1").select("_id"), same, "left_semi").unionAll(once)
+        left = left.unionAll(once)
     return left

@@ -173,6 +173,22 @@ def brute_contamination(rows, items):
     return out
 
 
+def test_kept_documents_move_no_texts(spark):
+    """Few documents go, so the ids that go are sent to the texts, however many stay and whatever Spark broadcasts by itself."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(40)) for _ in range(60)]
+    docs = frame(spark, [(i, t, "en", "x") for i, t in enumerate([*texts, texts[0], texts[1]])])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = simhash.keep_one_of_each(docs)
+        kept = {r.doc_id for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert kept == set(range(60)) and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_contamination(spark, rows):
     rng = random.Random(8)
     docs = {r[0]: r[1] for r in rows}
