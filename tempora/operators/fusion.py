@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.functions.scalar import sigma_from_covariance
-from tempora.operators.temporal import gradient, interpolate, near_flag
+from tempora.operators.temporal import gradient, interpolate, near_flag, quantile
 
 #: Fixed values of the gates: standard deviations in metres, guard in seconds, and the fewest fixes.
 TIGHT, TIGHT_GATE, LOOSE_GATE, GUARD, FEWEST = 0.05, 0.5, 5.0, 5.0, 20
@@ -28,8 +28,7 @@ def gate_fixes(fixes: DataFrame, keys: list[str], t: str, sigma: str, fewest: in
 
     The gate is tight where the sequence's lower quartile is. Sequences with fewer than ``fewest`` fixes left go.
     """
-    quartile = fixes.groupBy(*keys).agg(F.percentile(sigma, F.lit(0.25)).alias("_q"))
-    rows = fixes.join(quartile, keys).withColumn("_bad", F.col(sigma) > F.when(F.col("_q") < TIGHT, TIGHT_GATE).otherwise(LOOSE_GATE))
+    rows = fixes.join(quantile(fixes, keys, sigma, 0.25, "_q"), keys).withColumn("_bad", F.col(sigma) > F.when(F.col("_q") < TIGHT, TIGHT_GATE).otherwise(LOOSE_GATE))
     rows = near_flag(rows, keys, t, F.col("_bad"), GUARD, "_near").where("not _near").drop("_q", "_bad", "_near")
     enough = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= fewest).drop("_n")
     return rows.join(enough, keys, "left_semi")

@@ -141,8 +141,7 @@ def guard_band_drop(spark, sf_dir):
 SELECT event_id, EXISTS (SELECT 1 FROM o b WHERE b.user_id = a.user_id AND b.bad AND abs(a.us - b.us) <= {2 * HOUR_US}) AS outlier FROM o a""")
 def dilated_outliers(spark, sf_dir):
     ev = events(spark, sf_dir)
-    limit = ev.groupBy("user_id").agg(F.percentile("value", F.lit(0.9)).alias("q"))
-    return tm.near_flag(ev.join(limit, U), U, "us", F.col("value") > F.col("q"), 2 * HOUR_US, "outlier").select("event_id", "outlier")
+    return tm.near_flag(ev.join(tm.quantile(ev, U, "value", 0.9, "q"), U), U, "us", F.col("value") > F.col("q"), 2 * HOUR_US, "outlier").select("event_id", "outlier")
 
 
 @query(f"""WITH {EV}, s AS (SELECT event_id, event_type, lag(event_type) OVER w AS p, row_number() OVER w AS r FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us))

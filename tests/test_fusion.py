@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -120,6 +121,20 @@ def test_gates_at_their_limits(spark):
     assert {(r.t, r.near) for r in temporal.near_flag(near, ["k"], "t", F.col("bad"), 5.0, "near").collect()} == {(0.5013063508333333, True), (5.5013063508333335, True), (5.6, False), (None, False)}
 
 
+def test_gates_at_a_quartile_between_two_fixes(spark):
+    """A quartile that rounds to the limit in SQL (0.05, not below it) leaves the loose gate; one that rounds below it doesn't."""
+    ends = {"a": (14.32 / 300, 17.04 / 300), "b": (0.04753333333333333, 0.0574), "c": (0.05, 0.05)}
+    rows = [(k, 100.0 * i, v) for k, pair in ends.items() for i, v in enumerate((0.01, *pair, 0.1, 0.2, 1.0))] + [("d", 0.0, None)]
+    fixes = spark.createDataFrame(rows, "k string, t double, s double")
+    gated = fusion.gate_fixes(fixes, ["k"], "t", "s", fewest=1).groupBy("k").count().collect()
+    assert {r.k: r["count"] for r in gated} == {"a": 6, "b": 5, "c": 6, "d": 1}
+    frame = fixes.toPandas()  # noqa: F841
+    expected = dict(duckdb.sql("SELECT k, quantile_cont(s, 0.25) FROM frame GROUP BY k").fetchall())
+    assert {r.k: r.q for r in temporal.quantile(fixes, ["k"], "s", 0.25, "q").collect()} == expected == {"a": 0.05, "b": 0.049999999999999996, "c": 0.05, "d": None}
+    for share in (0.1, 0.5, 0.9, 1.0):
+        assert {r.k: r.q for r in temporal.quantile(fixes, ["k"], "s", share, "q").collect()} == dict(duckdb.sql(f"SELECT k, quantile_cont(s, {share}) FROM frame GROUP BY k").fetchall())
+
+
 def test_nearest_rows_of_a_long_sequence_take_one_pass(spark):
     """The plan of as-of joins has no frame that reaches to the end, which Spark goes through anew for every row."""
     rows = spark.range(6).selectExpr("'a' as k", "id as t")
