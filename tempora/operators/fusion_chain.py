@@ -22,19 +22,25 @@ from tempora.scratch import written
 #: Seconds in a slice.
 SLICE_S = 60.0
 #: Width of each column of a packed slice.
-WIDTHS = {"t": 1, "r": 9, "p": 3, "rot": 9, "pos": 3, "loose": 1, "fix": 3, "sigma": 3, "turn": 9, "r0": 9, "p0": 3}
+WIDTHS = {"t": 1, "r": 9, "p": 3, "rot": 9, "pos": 3, "loose": 1, "fix": 3, "sigma": 3, "turn": 9}
+#: Where a slice's first pose began.
+BEGAN = ("r0", "p0")
+#: Packed slices are long rows, and readers hold up to 4,096 rows of a row group at once: so its bytes are few.
+LONG_ROWS = {"parquet.block.size": str(8 << 20)}
 
 
 def _pack(nodes: DataFrame, keys: list[str], slice_s: float) -> DataFrame:
     """A row per slice with its poses as flat arrays in order of time, the first pose of the slice behind it included."""
     by = [*keys, "_s"]
-    one = F.struct(*(F.col(c) for c in WIDTHS))
+    one = F.struct(*(F.col(c) for c in (*WIDTHS, *BEGAN)))
     dealt = nodes.withColumn("_s", F.floor(F.col("t") / slice_s))
     slices = dealt.groupBy(*by).agg(F.sort_array(F.collect_list(one)).alias("own"))
+    # Of a sequence only a pose a slice comes together; the slices stay where they are.
     w = Window.partitionBy(*keys).orderBy("_s")
-    after = F.lead(F.col("own")[0]).over(w)
-    slices = slices.select(*by, F.size("own").alias("m"), (F.row_number().over(w) == 1).alias("first"), F.when(after.isNull(), F.col("own")).otherwise(F.concat("own", F.array(after))).alias("own"))
-    return slices.select(*by, "m", "first", *(_flat(c) for c in WIDTHS))
+    ends = slices.select(*by, F.col("own")[0].alias("_head")).select(*by, F.lead("_head").over(w).alias("_after"), (F.row_number().over(w) == 1).alias("first"))
+    own = F.when(F.col("_after").isNull(), F.col("own")).otherwise(F.concat("own", F.array("_after")))
+    slices = slices.join(ends, by).select(*by, F.size("own").alias("m"), "first", own.alias("own"))
+    return slices.select(*by, "m", "first", *(_flat(c) for c in WIDTHS), *(F.col("own")[0][c].alias(c) for c in BEGAN))
 
 
 def _flat(name: str) -> Column:
@@ -77,7 +83,8 @@ def _eliminate(frame: pd.DataFrame, weights: Weights) -> _Eliminated:
     if len(k):
         # The sequence's first pose is held weakly where it began.
         w = np.repeat([1 / weights.first[0] ** 2, 1 / weights.first[1] ** 2], 3)
-        miss = np.concatenate([so3_log(np.swapaxes(nodes["r0"][k], 1, 2) @ nodes["r"][k]), nodes["p"][k] - nodes["p0"][k]], 1)
+        r0, p0 = (np.stack(frame[c][first].to_list()) for c in BEGAN)
+        miss = np.concatenate([so3_log(np.swapaxes(r0.reshape(-1, 3, 3), 1, 2) @ nodes["r"][k]), nodes["p"][k] - p0], 1)
         slope = np.tile(np.eye(6), (len(k), 1, 1))
         slope[:, :3, :3] = so3_log_slope(miss[:, :3])
         back = np.swapaxes(slope, 1, 2)
@@ -162,7 +169,7 @@ def _solve(slices: DataFrame, keys: list[str], weights: Weights, rounds: int, le
     for _ in range(rounds):
         steps = slices.mapInPandas(reduce, reduced).groupBy(*keys).applyInPandas(borders, f"{_schema(slices, keys)}, _s long, x0 array<double>, xm array<double>")
         both = slices.join(steps, by)
-        found = written(both.mapInPandas(move, moved))
+        found = written(both.mapInPandas(move, moved), **LONG_ROWS)
         slices = found.drop("moved")
         if (found.agg(F.max("moved")).first()[0] or 0.0) < least:
             break
@@ -223,11 +230,9 @@ def fuse_trajectories(rows: DataFrame, keys: list[str], lever: tuple[float, floa
     cells = [sum((q[3 * i + k] * F.col("pose")[4 * k + j] for k in (1, 2)), q[3 * i] * F.col("pose")[j]) for i in range(3) for j in range(3)]
     moved = [c + F.col("translation")[i] for i, c in enumerate(_turned(q, [F.col("pose")[3 + 4 * k] for k in range(3)]))]
     laid = laid.select(*keys, "t", "loose", *parts, "sigma_e", "sigma_n", "sigma_u", "turn", F.array(*cells).alias("rot"), F.array(*moved).alias("pos"))
-    start = written(laid)
-    for c in parts:
-        own = start.where(known).select(*keys, F.col("t").alias("_ft"), F.col(c).alias("_v"))
-        start = interpolate(start, own, keys, "_v", "t", "_ft", f"_{c}", slice_s)
-    start = written(start.withColumn("p0", F.array(*(F.col(f"_{c}") for c in parts))).drop(*(f"_{c}" for c in parts)))
+    laid = written(laid)
+    own = laid.where(known).select(*keys, F.col("t").alias("_ft"), F.array(*parts).alias("_v"))
+    start = written(interpolate(laid, own, keys, "_v", "t", "_ft", "p0", slice_s, size=3))
     nan = F.lit(float("nan"))
 
     def nodes(df: DataFrame, fix: list[Column]) -> DataFrame:
@@ -239,14 +244,16 @@ def fuse_trajectories(rows: DataFrame, keys: list[str], lever: tuple[float, floa
         )
 
     first = start.withColumn("r", F.col("rot")).withColumn("p", F.col("p0"))
-    one = _unpack(_solve(written(_pack(nodes(first, [F.col(c) for c in parts]), keys, slice_s)), keys, weights, rounds, least), keys)
+    one = _unpack(_solve(written(_pack(nodes(first, [F.col(c) for c in parts]), keys, slice_s), **LONG_ROWS), keys, weights, rounds, least), keys)
     seen = written(start.drop("p0").join(one, [*keys, "t"]))
     off = F.hypot(F.col("fix_x") - F.col("p")[0], F.col("fix_y") - F.col("p")[1])
-    seen = near_flag(seen, keys, "t", known & (off > F.greatest(5 * F.greatest("sigma_e", "sigma_n"), F.lit(0.2))), dilate, "_near")
-    seen = written(seen.withColumn("outlier", known & F.col("_near")).drop("_near"))
+    # A sequence is gone through with its fixes' times alone; the poses don't come together for it.
+    far = seen.where(known).select(*keys, "t", (off > F.greatest(5 * F.greatest("sigma_e", "sigma_n"), F.lit(0.2))).alias("_far"))
+    near = near_flag(far, keys, "t", F.col("_far"), dilate, "_near").where("_near").select(*keys, "t", "_near")
+    seen = written(seen.join(near, [*keys, "t"], "left").withColumn("outlier", F.coalesce("_near", F.lit(False))).drop("_near"))
     away = _turned(F.col("r"), arm)
     fixes = [F.when(~F.col("outlier"), F.col(c) - a) for c, a in zip(parts, away)]
-    two = _unpack(_solve(written(_pack(nodes(seen, fixes), keys, slice_s)), keys, weights, rounds, least), keys)
+    two = _unpack(_solve(written(_pack(nodes(seen, fixes), keys, slice_s), **LONG_ROWS), keys, weights, rounds, least), keys)
     out = seen.drop("r", "p").join(two, [*keys, "t"])
     away = _turned(F.col("r"), arm)
     miss = [F.col(c) - F.col("p")[i] - away[i] for i, c in enumerate(parts)]

@@ -21,8 +21,8 @@ def shared_dir(spark: SparkSession, lasting: bool = False) -> str:
     return f"{base.rstrip('/')}/tempora-{spark.sparkContext.applicationId if lasting else uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, **options: str) -> DataFrame:
     """``df`` as a Parquet table of the shared folder: later rounds and lost executors read it again, and don't compute it."""
     path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ import math
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tempora.operators import fusion, fusion_chain, temporal
@@ -141,3 +142,17 @@ def test_nearest_rows_of_a_long_sequence_take_one_pass(spark):
     found = temporal.neighbours(rows, rows.where("t % 3 = 1"), ["k"], payload=[])
     assert "unboundedfollowing" not in found._jdf.queryExecution().toString().lower()
     assert [(r.prev and r.prev.t, r.next and r.next.t) for r in found.orderBy("t").collect()] == [(None, 1), (1, 1), (1, 4), (1, 4), (4, 4), (4, None)]
+
+
+def test_packed_slices_are_read_few_at_once(spark):
+    """A reader holds a row group's rows at once, up to 4,096: of long rows, a group takes a few megabytes."""
+    at, nan = F.col("id") * 0.1, F.lit(float("nan"))
+    eye = F.array(*(F.lit(float(i % 4 == 0)) for i in range(9)))
+    place = F.array(F.col("id") * 0.5, F.rand(1), F.rand(2))
+    rows = spark.range(0, 120_000, 1, 1).select(F.lit("a").alias("k"), at.alias("t"), eye.alias("rot"), place.alias("pos"), F.lit(0.0).alias("loose"), F.array(F.col("id") * 0.5, F.rand(3), F.rand(4)).alias("fix"), F.array(*[F.lit(1.0)] * 3).alias("sigma"), F.array(*[nan] * 9).alias("turn"))
+    nodes = rows.withColumns({"r": F.col("rot"), "p": F.col("pos"), "r0": F.col("rot"), "p0": F.col("pos")})
+    found = fusion_chain._solve(fusion_chain._pack(nodes, ["k"], 40.0).coalesce(1), ["k"], fusion.Weights(), 1, 1e-9)
+    files = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in found.inputFiles()]
+    assert sum(m.num_rows for m in files) == 300
+    assert max(m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)) < 12e6
+    assert fusion_chain._unpack(found, ["k"]).count() == 120_000
